@@ -17,9 +17,9 @@ from surtido.operators.ridge import confidence, error_metrics
 from surtido.plans.training import train
 from surtido.sinks import (
     append_forecasts, append_sales, clear_tables, insert_ignore, write_clean,
-    write_forecast_csv, write_model,
+    write_forecast_csv, write_metrics, write_model,
 )
-from surtido.sources import load_dataset, read_clean, read_model, read_stored
+from surtido.sources import load_dataset, read_clean, read_metrics, read_model, read_stored
 
 
 def store_clean(raw: DataFrame, warehouse: str) -> DataFrame:
@@ -51,7 +51,8 @@ def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN
     write_model(training.models, warehouse)
     forecast = forecast_next_year(read_model(spark, warehouse))
     write_forecast_csv(forecast, f"{warehouse}/predicciones_ridge")
-    scored = error_metrics(forecast) if placeholder_confidence else training.backtest
+    write_metrics(training.backtest, warehouse)
+    scored = error_metrics(forecast) if placeholder_confidence else read_metrics(spark, warehouse)
     score = confidence(scored).select("confianza").scalar()
     shares = product_shares(read_stored(spark, warehouse, "ventas"))
     rows = allocate(forecast, shares, score).unionByName(global_rows(forecast, score))
@@ -63,8 +64,8 @@ def reload(spark: SparkSession, path: str, warehouse: str, *, min_days: int = MI
            multi_line: bool = False, file_format: str | None = None) -> None:
     """Load, clean, split, store, train, forecast and store again.
 
-    Leaves in ``warehouse``: ventas_limpias, productos, ventas, predicciones, modelo and
-    predicciones_ridge.
+    Leaves in ``warehouse``: ventas_limpias, productos, ventas, predicciones, modelo,
+    metricas and predicciones_ridge.
     """
     raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
     clean = store_clean(raw, warehouse)

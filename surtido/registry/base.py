@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surtido.operators.allocation import allocate, global_rows, product_shares, to_forecast_rows
 from surtido.operators.catalog import split_tables
-from surtido.operators.cleaning import clean_lines
+from surtido.operators.cleaning import clean_lines, keep_sales, normalize_lines
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import KEY, covered_months, monthly_units
+from surtido.plans.reload import store_clean
 from surtido.schemas import to_stored
+from surtido.session import ensure_checkpoint_dir
 from surtido.sources.invoices import invoice_lines
 
 # Series by country: a country sells on too few days for the coverage of the global series.
@@ -28,6 +32,11 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean_lines(raw(spark, folder))
 
 
+def sold(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean lines with their copies: for results that copies do not change."""
+    return normalize_lines(keep_sales(raw(spark, folder)))
+
+
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(productos, ventas) with stored types."""
     productos, ventas = split_tables(clean(spark, folder))
@@ -47,21 +56,35 @@ def mean_forecast(lines: DataFrame) -> DataFrame:
 
 def mean_fit(lines: DataFrame) -> DataFrame:
     """Actual units and the mean of their calendar month, as pairs to score."""
-    monthly = covered_months(monthly_units(lines))
-    means = monthly.groupBy(KEY, F.month("fecha").alias("mes")).agg(
-        (F.sum("ventas").cast("double") / F.count(F.lit(1))).alias("ventas_predichas"))
-    return monthly.withColumn("mes", F.month("fecha")).join(means, [KEY, "mes"]).select(
-        KEY, "fecha", F.col("ventas").cast("double").alias("ventas_reales"), "ventas_predichas")
+    same_month = Window.partitionBy(KEY, F.month("fecha"))
+    mean = F.sum("ventas").over(same_month).cast("double") / F.count(F.lit(1)).over(same_month)
+    return covered_months(monthly_units(lines)).select(
+        KEY, "fecha", F.col("ventas").cast("double").alias("ventas_reales"),
+        mean.alias("ventas_predichas"))
 
 
-def mean_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored forecast rows of the stand-in: every product, and the global series."""
-    lines = clean(spark, folder)
-    _, ventas = split_tables(lines)
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def planned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(productos, ventas, predicciones), with the stand-in forecast.
+
+    Many branches start at the clean lines, so these are written first, as in the reload.
+    """
+    lines = store_clean(raw(spark, folder), fresh_folder(spark))
+    productos, ventas = split_tables(lines)
     forecast = mean_forecast(lines)
     score = confidence(error_metrics(mean_fit(lines))).select("confianza").scalar()
     rows = allocate(forecast, product_shares(ventas), score)
-    return to_forecast_rows(rows.unionByName(global_rows(forecast, score)))
+    predicciones = to_forecast_rows(rows.unionByName(global_rows(forecast, score)))
+    return to_stored(productos, "productos"), to_stored(ventas, "ventas"), predicciones
+
+
+def mean_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Forecast rows of the stand-in: every product, and the global series."""
+    return planned(spark, folder)[2]
 
 
 def r(column: str | Column, digits: int = 6) -> Column:

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surtido.operators import catalog as c
 from surtido.operators.audit import split_audit
-from surtido.registry.base import ACTIVE, CUTOFF, LINES, STORED, clean, plain, sql, stored
+from surtido.registry.base import ACTIVE, CUTOFF, LINES, STORED, clean, plain, sold, sql, stored
+
+def _cutoff(lines: DataFrame) -> DataFrame:
+    first = lines.agg(F.min("fecha_venta").alias("primera"))
+    return first.withColumn("desde", c.recent_cutoff(lines))
+
 
 QUERIES = {
-    "recent_cutoff": lambda s, d: clean(s, d).groupBy().agg(
-        F.min("fecha_venta").alias("primera")).withColumn("desde", c.recent_cutoff(clean(s, d))),
+    "recent_cutoff": lambda s, d: _cutoff(sold(s, d)),
     "last_month_lines": lambda s, d: c.last_month_lines(clean(s, d)),
-    "active_days_per_product": lambda s, d: c.active_days(clean(s, d)),
-    "valid_products": lambda s, d: c.valid_products(clean(s, d)),
+    "active_days_per_product": lambda s, d: c.active_days(sold(s, d)),
+    "valid_products": lambda s, d: c.valid_products(sold(s, d)),
     "lines_of_valid_products": lambda s, d: c.keep_valid(clean(s, d)),
     "catalog_top_price": lambda s, d: plain(stored(s, d)[0]),
-    "catalog_top_price_all": lambda s, d: c.top_price_catalog(clean(s, d)),
+    "catalog_top_price_all": lambda s, d: c.top_price_catalog(sold(s, d)),
     "sales_fact": lambda s, d: plain(stored(s, d)[1]),
     "split_counts": lambda s, d: split_audit(clean(s, d)),
 }

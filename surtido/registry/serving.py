@@ -9,7 +9,7 @@ from surtido.operators.allocation import product_shares
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.registry.base import (
     PLANNED, PRODUCT, SERIES, STORED, MEAN_FORECAST, clean, listed, mean_fit, mean_forecast,
-    mean_predictions, plain, r_sql, rounded, sql, stored,
+    mean_predictions, plain, planned, r_sql, rounded, sql, stored,
 )
 
 
@@ -21,8 +21,23 @@ def _productos(s, d):
     return stored(s, d)[0]
 
 
+def _kpis(s, d):
+    productos, ventas = stored(s, d)
+    return plain(v.kpis(ventas, productos))
+
+
+def _investment(s, d):
+    productos, _, predicciones = planned(s, d)
+    return plain(v.investment(predicciones, productos))
+
+
+def _investment_arrays(s, d):
+    productos, _, predicciones = planned(s, d)
+    return listed(v.investment_lists(predicciones, productos, PRODUCT), "fechas", "inversion")
+
+
 QUERIES = {
-    "kpis": lambda s, d: plain(v.kpis(_ventas(s, d), _productos(s, d))),
+    "kpis": _kpis,
     "product_list": lambda s, d: v.product_list(_productos(s, d)),
     "product_label": lambda s, d: v.product_labels(v.product_list(_productos(s, d))),
     "daily_sales_by_product": lambda s, d: v.daily_sales(_ventas(s, d)),
@@ -45,11 +60,8 @@ QUERIES = {
     "global_forecast": lambda s, d: v.global_forecast(mean_predictions(s, d)),
     "global_forecast_arrays": lambda s, d: listed(
         v.global_forecast_lists(mean_predictions(s, d)), "fechas", "reales", "predichas"),
-    "investment": lambda s, d: plain(
-        v.investment(mean_predictions(s, d), _productos(s, d))),
-    "investment_arrays": lambda s, d: listed(
-        v.investment_lists(mean_predictions(s, d), _productos(s, d), PRODUCT),
-        "fechas", "inversion"),
+    "investment": _investment,
+    "investment_arrays": _investment_arrays,
     "confidence_mean": lambda s, d: rounded(
         v.mean_confidence(mean_predictions(s, d)), "confianza"),
     "confidence_gauge": lambda s, d: rounded(

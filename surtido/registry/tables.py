@@ -6,7 +6,6 @@ The queries that write use a new folder under the shared checkpoint folder each
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
@@ -17,19 +16,18 @@ from pyspark.sql import functions as F
 
 from surtido.operators import constraints as k
 from surtido.operators.allocation import to_forecast_rows
-from surtido.operators.audit import dataset_report
-from surtido.operators.catalog import sales_fact, top_price_catalog
+from surtido.operators.catalog import sales_fact
 from surtido.operators.cleaning import clean_stream, normalize_lines
 from surtido.operators.forecast import forecast_next_year
 from surtido.operators.ridge import fit_models
 from surtido.operators.serving import kpis
 from surtido.plans.reload import store_clean, store_tables
 from surtido.registry.base import (
-    LINES, PLANNED, STORED, clean, mean_predictions, plain, raw, rounded, sql, stored,
+    LINES, PLANNED, STORED, clean, fresh_folder, mean_predictions, plain, planned, raw, rounded,
+    sql, stored,
 )
 from surtido.registry.model import ORACLES as MODEL_ORACLES
 from surtido.registry.series import prepared
-from surtido.session import ensure_checkpoint_dir
 from surtido.sinks import (
     append_sales, clear_tables, dense_key, insert_ignore, missing_products, write_model,
 )
@@ -40,10 +38,6 @@ from surtido.sources.workbook import workbook_rows
 from surtido.streaming.landing import watch_landing
 
 
-def fresh_folder(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-
-
 def _unfiltered_facts(s, d) -> DataFrame:
     """Facts of the raw lines as they are: returns and unlisted products included."""
     return sales_fact(normalize_lines(raw(s, d)))
@@ -98,8 +92,16 @@ def _cleared(s, d) -> DataFrame:
 
 
 def _violations(s, d) -> DataFrame:
-    return k.validate_constraints(stored(s, d)[0], _unfiltered_facts(s, d),
-                                  mean_predictions(s, d))
+    """Checks of three written tables, as after a load without constraints."""
+    folder = fresh_folder(s)
+    productos, _, predicciones = planned(s, d)
+    tables = {
+        "productos": productos, "ventas": _unfiltered_facts(s, d), "predicciones": predicciones,
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{folder}/{name}")
+    return k.validate_constraints(*[
+        s.read.schema(table.schema).parquet(f"{folder}/{name}") for name, table in tables.items()])
 
 
 def _broken(s, d) -> DataFrame:

@@ -1,6 +1,6 @@
 """Writers of the clean set, the stored tables, the forecast and the model."""
 
-from surtido.sinks.files import write_clean, write_forecast_csv, write_model
+from surtido.sinks.files import write_clean, write_forecast_csv, write_metrics, write_model
 from surtido.sinks.keys import dense_key
 from surtido.sinks.tables import (
     append_forecasts, append_sales, clear_tables, insert_ignore, missing_products, write_jdbc,
@@ -8,5 +8,6 @@ from surtido.sinks.tables import (
 
 __all__ = [
     "append_forecasts", "append_sales", "clear_tables", "dense_key", "insert_ignore",
-    "missing_products", "write_clean", "write_forecast_csv", "write_jdbc", "write_model",
+    "missing_products", "write_clean", "write_forecast_csv", "write_jdbc", "write_metrics",
+    "write_model",
 ]

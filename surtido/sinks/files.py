@@ -23,6 +23,13 @@ def write_forecast_csv(forecast: DataFrame, path: str) -> None:
     forecast.select(KEY, *columns).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_metrics(metrics: DataFrame, warehouse: str) -> str:
+    """Backtest metrics, one row per series."""
+    path = f"{warehouse}/metricas"
+    metrics.write.mode("overwrite").parquet(path)
+    return path
+
+
 def write_model(models: DataFrame, warehouse: str) -> str:
     """Coefficients and scalers as a table, one row per series."""
     path = f"{warehouse}/modelo"

@@ -20,6 +20,10 @@ def read_model(spark: SparkSession, warehouse: str) -> DataFrame:
     return spark.read.parquet(f"{warehouse}/modelo")
 
 
+def read_metrics(spark: SparkSession, warehouse: str) -> DataFrame:
+    return spark.read.parquet(f"{warehouse}/metricas")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A stored table of a database whose driver is on the class path."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
