@@ -38,14 +38,16 @@ def valid_products(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFra
     return active_days(clean).filter(F.col("dias_vendido") >= min_days)
 
 
-def keep_valid(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
-    """All lines, of any date, of the valid products.
+def keep_valid(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS,
+               valid: DataFrame | None = None) -> DataFrame:
+    """All lines, of any date, of the valid products (``valid``, where already at hand).
 
     No broadcast hint: the catalogue grows with the data, so the join is chosen from its
     measured size, and a hot product is split by the skew-join rule.
     """
-    return clean.join(valid_products(clean, min_days).select("id_producto"),
-                      "id_producto", "left_semi")
+    if valid is None:
+        valid = valid_products(clean, min_days)
+    return clean.join(valid.select("id_producto"), "id_producto", "left_semi")
 
 
 def top_price_catalog(lines: DataFrame) -> DataFrame:
@@ -70,7 +72,8 @@ def sales_fact(lines: DataFrame) -> DataFrame:
     return lines.select(*FACT_COLUMNS)
 
 
-def split_tables(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> tuple[DataFrame, DataFrame]:
+def split_tables(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS,
+                 valid: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(catalogue, facts) of the products sold on enough days of the last month."""
-    kept = keep_valid(clean, min_days)
+    kept = keep_valid(clean, min_days, valid)
     return top_price_catalog(kept), sales_fact(kept)

@@ -110,11 +110,19 @@ def _squared_error(sums: np.ndarray, coef: np.ndarray, intercept: np.ndarray) ->
     return np.maximum(cross + fitted + 2 * intercept * (coef * x).sum(-1) + n * intercept**2, 0.0)
 
 
+# Series solved at once: bounds the memory of a Python worker (36 matrices per series).
+SERIES_AT_ONCE = 1000
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for start in range(0, len(batch), SERIES_AT_ONCE):
+            yield batch.iloc[start:start + SERIES_AT_ONCE].reset_index(drop=True)
+
+
 def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     grid = np.array(ALPHA_GRID)
-    for batch in batches:
-        if batch.empty:
-            continue
+    for batch in _pieces(batches):
         per_block = np.array([
             [block if block is not None else np.zeros(len(blocks[0])) for block in blocks]
             for blocks in batch["bloques"]

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from surtido.constants import MIN_ACTIVE_DAYS, MIN_MONTH_COVERAGE
 from surtido.operators.allocation import allocate, global_rows, product_shares
-from surtido.operators.catalog import split_tables
+from surtido.operators.audit import cleaning_audit, split_audit
+from surtido.operators.catalog import split_tables, valid_products
 from surtido.operators.cleaning import clean_lines
 from surtido.operators.forecast import forecast_next_year
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.plans.training import train
 from surtido.sinks import (
     append_forecasts, append_sales, clear_tables, insert_ignore, write_clean,
-    write_forecast_csv, write_metrics, write_model,
+    write_forecast_csv, write_metrics, write_model, write_valid,
 )
 from surtido.sources import load_dataset, read_clean, read_metrics, read_model, read_stored
 
@@ -33,12 +34,27 @@ def store_clean(raw: DataFrame, warehouse: str) -> DataFrame:
 
 
 def store_tables(clean: DataFrame, warehouse: str, min_days: int = MIN_ACTIVE_DAYS) -> None:
-    productos, ventas = split_tables(clean, min_days)
+    """Split the clean lines and reload productos and ventas.
+
+    The valid products are written first: both tables filter by them, and the size of the
+    file tells the planner how to join.
+    """
+    valid = write_valid(valid_products(clean, min_days), warehouse)
+    productos, ventas = split_tables(clean, min_days, valid)
     clear_tables(clean.sparkSession, warehouse)
     insert_ignore(productos, warehouse)
     append_sales(ventas, warehouse)
 
 
+def store_audit(raw: DataFrame, clean: DataFrame, warehouse: str,
+                min_days: int = MIN_ACTIVE_DAYS) -> None:
+    """What the steps kept and removed, as a table: ``orden, paso, filas``."""
+    steps = cleaning_audit(raw, clean)
+    split = split_audit(clean, min_days).select(
+        (F.col("orden") + 5).alias("orden"), F.col("medida").alias("paso"), "filas")
+    steps.unionByName(split).write.mode("overwrite").parquet(f"{warehouse}/auditoria")
+
+
 def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN_MONTH_COVERAGE,
                     placeholder_confidence: bool = False) -> None:
     """Train on all clean lines, spread the forecast over the stored products, store it.
@@ -61,14 +77,17 @@ def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN
 
 def reload(spark: SparkSession, path: str, warehouse: str, *, min_days: int = MIN_ACTIVE_DAYS,
            min_coverage: int = MIN_MONTH_COVERAGE, placeholder_confidence: bool = False,
-           multi_line: bool = False, file_format: str | None = None) -> None:
+           multi_line: bool = False, file_format: str | None = None,
+           audit: bool = True) -> None:
     """Load, clean, split, store, train, forecast and store again.
 
-    Leaves in ``warehouse``: ventas_limpias, productos, ventas, predicciones, modelo,
-    metricas and predicciones_ridge.
+    Leaves in ``warehouse``: ventas_limpias, auditoria, productos, ventas, predicciones,
+    modelo, metricas and predicciones_ridge. The audit reads the input a second time.
     """
     raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
     clean = store_clean(raw, warehouse)
+    if audit:
+        store_audit(raw, clean, warehouse, min_days)
     store_tables(clean, warehouse, min_days)
     store_forecasts(clean, warehouse, min_coverage=min_coverage,
                     placeholder_confidence=placeholder_confidence)

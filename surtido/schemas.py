@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from surtido.constants import DEFAULT_CATEGORY
+
 MONEY = T.DecimalType(10, 2)
 CONFIDENCE = T.DecimalType(5, 4)
 
@@ -47,8 +49,10 @@ MAX_LENGTH = {
 def to_stored(df: DataFrame, table: str) -> DataFrame:
     """Columns of ``df`` that ``table`` has, in table order and with stored types.
 
-    Casts are strict: a value that does not fit (say, too many digits) stops the job.
+    A missing category takes its default. Casts are strict: a value that does not fit (say, too many digits) stops the job.
     """
+    if table == "productos" and "categoria" not in df.columns:
+        df = df.withColumn("categoria", F.lit(DEFAULT_CATEGORY))
     present = set(df.columns)
     columns: list[Column] = [
         F.col(field.name).cast(field.dataType).alias(field.name)

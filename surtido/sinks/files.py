@@ -23,6 +23,13 @@ def write_forecast_csv(forecast: DataFrame, path: str) -> None:
     forecast.select(KEY, *columns).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_valid(valid: DataFrame, warehouse: str) -> DataFrame:
+    """Valid products as a table of their own; returns the written table."""
+    path = f"{warehouse}/productos_validos"
+    valid.write.mode("overwrite").parquet(path)
+    return valid.sparkSession.read.schema(valid.schema).parquet(path)
+
+
 def write_metrics(metrics: DataFrame, warehouse: str) -> str:
     """Backtest metrics, one row per series."""
     path = f"{warehouse}/metricas"

@@ -61,6 +61,11 @@ def test_constraints_report_every_broken_rule(spark):
     assert (good.count(), [r.id_producto for r in bad.collect()]) == (2, ["zz"])
 
 
+def test_category_has_a_default(spark):
+    row = to_stored(products(spark, "a").drop("categoria"), "productos").first()
+    assert row.categoria == "Sin categoría"
+
+
 def test_stored_types_are_strict(spark):
     df = spark.createDataFrame([("a", "N", "c", 1e9)],
                                "id_producto string, nombre string, categoria string, precio_unitario double")
@@ -160,6 +165,11 @@ def test_reload_end_to_end(spark, tmp_path):
     r2 = read_metrics(spark, folder).first().r2
     assert float(forecasts.first().confianza_modelo) == pytest.approx(min(1, max(0, r2)), abs=1e-4)
     assert read_model(spark, folder).count() == 1
+    audit = spark.read.parquet(f"{folder}/auditoria").orderBy("orden").collect()
+    assert [(r.paso, r.filas) for r in audit][:5] == [
+        ("inicio", 53 * 24), ("sin_cancelaciones", 52 * 24), ("cantidad_positiva", 52 * 24),
+        ("precio_positivo", 52 * 24), ("sin_duplicados", 52 * 24)]
+    assert [r.filas for r in audit][5:] == [0, 2, 52 * 24, 52 * 24]
     months = spark.read.option("header", True).csv(f"{folder}/predicciones_ridge")
     assert months.count() == 12 and "ventas_reales" in months.columns
     violations = k.validate_constraints(
