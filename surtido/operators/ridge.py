@@ -21,6 +21,9 @@ from surtido.constants import (
 from surtido.functions import clip, r2_score
 from surtido.operators.features import scaled_features, time_split, with_position
 from surtido.operators.series import KEY, whole_series
+from surtido.session import send_to_workers
+
+send_to_workers(__name__)
 
 WIDTH = len(FEATURES)
 PAIRS = [(i, j) for i in range(WIDTH) for j in range(i, WIDTH)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,31 +15,40 @@ from surtido.operators.ridge import backtest_metrics, fit_models
 from surtido.operators.series import KEY, demand_series
 
 
-@dataclass(frozen=True)
 class Training:
-    series: DataFrame     # monthly units the models were trained on
-    prepared: DataFrame   # capped, logged, with features
-    models: DataFrame     # one tuned model per series, fitted on all rows
-    backtest: DataFrame   # error metrics on the newest rows, by models that did not see them
-    forecast: DataFrame   # months of the next year
-    too_short: DataFrame  # series without enough months for a feature row
+    """The results of training on ``series``; each one is planned when it is asked for."""
+
+    def __init__(self, series: DataFrame):
+        self.series = series
+
+    @cached_property
+    def prepared(self) -> DataFrame:
+        """Capped, logged, with features."""
+        return prepared_series(self.series)
+
+    @cached_property
+    def models(self) -> DataFrame:
+        """One tuned model per series, fitted on all rows."""
+        return fit_models(self.prepared)
+
+    @cached_property
+    def backtest(self) -> DataFrame:
+        """Error metrics on the newest rows, by models that did not see them."""
+        return backtest_metrics(self.prepared)
+
+    @cached_property
+    def forecast(self) -> DataFrame:
+        """Months of the next year."""
+        return forecast_next_year(self.models)
+
+    @cached_property
+    def too_short(self) -> DataFrame:
+        """Series without enough months for a feature row."""
+        months = self.series.groupBy(KEY).agg(F.count(F.lit(1)).alias("meses"))
+        return months.filter(F.col("meses") <= 3)
 
 
 def train(sales: DataFrame, keys: Sequence[str] = (),
           min_days: int = MIN_MONTH_COVERAGE) -> Training:
-    """Plan the whole training; nothing runs until a part of the result is used.
-
-    ``keys=[]`` trains the one global series, ``["id_producto"]`` one per product.
-    """
-    series = demand_series(sales, keys, min_days)
-    prepared = prepared_series(series)
-    models = fit_models(prepared)
-    lengths = series.groupBy(KEY).agg(F.count(F.lit(1)).alias("meses"))
-    return Training(
-        series=series,
-        prepared=prepared,
-        models=models,
-        backtest=backtest_metrics(prepared),
-        forecast=forecast_next_year(models),
-        too_short=lengths.filter(F.col("meses") <= 3),
-    )
+    """Train the one global series, or one per value of ``keys`` (say, ``["id_producto"]``)."""
+    return Training(demand_series(sales, keys, min_days))

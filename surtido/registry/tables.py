@@ -28,6 +28,7 @@ from surtido.registry.base import (
 )
 from surtido.registry.model import ORACLES as MODEL_ORACLES
 from surtido.registry.series import prepared
+from surtido.session import send_to_workers
 from surtido.sinks import (
     append_sales, clear_tables, dense_key, insert_ignore, missing_products, write_model,
 )
@@ -38,6 +39,9 @@ from surtido.sources.workbook import workbook_rows
 from surtido.streaming.landing import watch_landing
 
 
+send_to_workers(__name__)
+
+
 def _unfiltered_facts(s, d) -> DataFrame:
     """Facts of the raw lines as they are: returns and unlisted products included."""
     return sales_fact(normalize_lines(raw(s, d)))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on. AQE re-plans joins from measured sizes, so a side
@@ -21,6 +23,14 @@ SETTINGS = {
 }
 
 
+def send_to_workers(module_name: str) -> None:
+    """Send the functions of a module to Python workers as code, not by name.
+
+    The workers then need no copy of this package on their path.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and benchmarks."""

@@ -1,6 +1,8 @@
 """Writers of the clean set, the stored tables, the forecast and the model."""
 
-from surtido.sinks.files import write_clean, write_forecast_csv, write_metrics, write_model, write_valid
+from surtido.sinks.files import (
+    write_clean, write_forecast_csv, write_metrics, write_model, write_series, write_valid,
+)
 from surtido.sinks.keys import dense_key
 from surtido.sinks.tables import (
     append_forecasts, append_sales, clear_tables, insert_ignore, missing_products, write_jdbc,
@@ -9,5 +11,5 @@ from surtido.sinks.tables import (
 __all__ = [
     "append_forecasts", "append_sales", "clear_tables", "dense_key", "insert_ignore",
     "missing_products", "write_clean", "write_forecast_csv", "write_jdbc", "write_metrics",
-    "write_model", "write_valid",
+    "write_model", "write_series", "write_valid",
 ]

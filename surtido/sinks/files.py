@@ -23,11 +23,19 @@ def write_forecast_csv(forecast: DataFrame, path: str) -> None:
     forecast.select(KEY, *columns).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_valid(valid: DataFrame, warehouse: str) -> DataFrame:
     """Valid products as a table of their own; returns the written table."""
-    path = f"{warehouse}/productos_validos"
-    valid.write.mode("overwrite").parquet(path)
-    return valid.sparkSession.read.schema(valid.schema).parquet(path)
+    return _written(valid, f"{warehouse}/productos_validos")
+
+
+def write_series(series: DataFrame, warehouse: str) -> DataFrame:
+    """Monthly series as a table of their own; returns the written table."""
+    return _written(series, f"{warehouse}/serie_mensual")
 
 
 def write_metrics(metrics: DataFrame, warehouse: str) -> str:

@@ -19,6 +19,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surtido.session import send_to_workers
+
+send_to_workers(__name__)
+
 ROWS_PER_PIECE = 10_000
 
 # Fixed values of the XLSX format: name spaces, numbers of the built-in date formats.

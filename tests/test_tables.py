@@ -187,7 +187,7 @@ def test_clean_set_survives_a_failed_training(spark, tmp_path, monkeypatch):
     def fail(*args, **kwargs):
         raise RuntimeError("training failed")
 
-    monkeypatch.setattr(job, "train", fail)
+    monkeypatch.setattr(job, "Training", fail)
     with pytest.raises(RuntimeError):
         job.reload(spark, source, folder)
     assert read_clean(spark, folder).count() == 2 * 26 * 2
