@@ -22,6 +22,7 @@ INTERNAL_NAMES = {
 
 CANCELLED_PREFIX = "C"
 MISSING_DESCRIPTION = "Sin descripción"
+MISSING_CODE = "nan"
 DEFAULT_CATEGORY = "Sin categoría"
 NO_CONFIDENCE_TEXT = "Sin datos"
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surtido.constants import INTERNAL_NAMES, MISSING_DESCRIPTION
+from surtido.constants import INTERNAL_NAMES, MISSING_CODE, MISSING_DESCRIPTION
 from surtido.functions import is_cancelled, money_round, strip_upper
 
 
@@ -34,8 +34,10 @@ def drop_exact_duplicates(lines: DataFrame) -> DataFrame:
 
 
 def fill_missing(lines: DataFrame) -> DataFrame:
+    """Fill descriptions and customers; lines without a product code share one of their own."""
     customer = F.col("CustomerID") if "CustomerID" in lines.columns else F.lit(None)
     return lines.withColumns({
+        "StockCode": F.coalesce(F.col("StockCode").cast("string"), F.lit(MISSING_CODE)),
         "Description": F.coalesce(F.col("Description"), F.lit(MISSING_DESCRIPTION)),
         "CustomerID": F.coalesce(customer.cast("double"), F.lit(0.0)).cast("bigint"),
     })

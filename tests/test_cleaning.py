@@ -50,6 +50,11 @@ def test_customer_is_optional_and_filled(raw_lines):
     assert c.clean_lines(lines.drop("CustomerID")).first().CustomerID == 0
 
 
+def test_lines_without_a_code_are_kept_under_one(raw_lines):
+    lines = raw_lines({"StockCode": None}, {"StockCode": None, "Quantity": 2})
+    assert column(c.clean_lines(lines), "id_producto") == ["NAN", "NAN"]
+
+
 def test_extra_columns_ride_along(raw_lines):
     clean = c.clean_lines(raw_lines({}))
     assert clean.first().Country == "UK"
