@@ -80,12 +80,17 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     return normalize_lines(drop_exact_duplicates(keep_sales(raw)))
 
 
-def clean_stream(raw: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def clean_stream(raw: DataFrame, lateness: str = "1 hour", spread: int = 16) -> DataFrame:
     """The same cleaning for a stream of lines.
 
     Copies are dropped when they arrive within ``lateness`` of each other, which bounds
-    the state Spark keeps.
+    the state Spark keeps. A stream has no partial step before its shuffle, so a line with
+    very many copies is first reduced in ``spread`` groups; the group is the number of the
+    input task, which a repeated task keeps.
     """
     kept = keep_sales(raw).withColumn("InvoiceDate", F.col("InvoiceDate").cast("timestamp"))
     kept = kept.withWatermark("InvoiceDate", lateness)
-    return normalize_lines(kept.dropDuplicatesWithinWatermark())
+    columns = kept.columns
+    grouped = kept.withColumn("_grupo", F.spark_partition_id() % spread)
+    once_a_group = grouped.dropDuplicatesWithinWatermark([*columns, "_grupo"]).drop("_grupo")
+    return normalize_lines(once_a_group.dropDuplicatesWithinWatermark())
