@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surtido.llm import bpe, langid, lines, quality, sharding, simhash, warc
+from surtido.llm import (
+    bpe, decontamination, langid, lines, quality, sharding, simhash, suffixes, toxicity, warc,
+)
 from surtido.llm.common import shared_folder
 from surtido.llm.sql import ORACLES
 
@@ -42,6 +44,14 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    return toxicity.predict(docs, model).select(
+        "row.doc_id", F.col("p")[0].alias("quality_score"), F.col("p")[1].alias("toxic_score"),
+        (F.col("p")[1] >= toxicity.LEAST_TOXIC).alias("toxic"))
+
+
 def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(table(spark, folder, "pages"), shared_folder(spark))
 
@@ -54,6 +64,14 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffixes.remove_repeated(docs).select(
+        "row.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias(
+            "n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     rows = lines.drop_lines(docs, lines.keep_bitmaps(docs))
@@ -68,6 +86,11 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
                        "slot", "grown_shard")
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_language_id, op2_bpe, op4_warc_revisits, op5_quality_rules, op6_simhash,
-    op8_line_dedup, op9_sharding)}
+    op1_language_id, op2_bpe, op3_toxicity, op4_warc_revisits, op5_quality_rules, op6_simhash,
+    op7_suffix_dedup, op8_line_dedup, op9_sharding, op10_decontamination)}

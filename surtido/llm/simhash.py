@@ -56,18 +56,23 @@ def _fingerprint(text: str | None, width: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number; zero for a text without words."""
+    """(doc_id, mark, fp): ``fp`` is the fingerprint as a signed number, zero without words.
+
+    ``mark`` is a hash of the text, which tells rows of one doc_id apart.
+    """
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 values = np.array([_fingerprint(t, width)
                                    for t in piece.column("text").to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+                    [piece.column("doc_id"), piece.column("mark"),
+                     pa.array(values.view(np.int64))], ["doc_id", "mark", "fp"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("mark"),
+                       F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(worker, f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(worker, f"doc_id {kind}, mark bigint, fp bigint")
 
 
 def _quarter(fp: Column, i: int) -> Column:
@@ -122,6 +127,13 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
+def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
+    """doc_id, mark, fp and ``root``, one fingerprint of the component."""
+    joined = components(links(prints, max_bits))
+    return prints.join(joined, F.col("fp") == F.col("node"), "left").select(
+        "doc_id", "mark", "fp", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
@@ -132,10 +144,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated rows come back as often as they are given; a null doc_id joins its component
     but does not name it; an empty table gives no rows; other columns are left out.
     """
-    prints = stored(fingerprints(docs, id_col, text_col, width))
-    joined = components(links(prints, max_bits))
-    rows = prints.join(joined, F.col("fp") == F.col("node"), "left").select(
-        "doc_id", "fp", F.coalesce("component", "fp").alias("root"))
+    rows = _rooted(stored(fingerprints(docs, id_col, text_col, width)), max_bits)
     names = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows.join(names, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows without near duplicates: of each component, the row with the smallest doc_id.
+
+    Rows without a doc_id stay only where no row of their component has one; of rows that
+    share the doc_id, that with the least text hash stays, and of repeated rows one.
+    """
+    rows = _rooted(stored(fingerprints(docs, id_col, text_col, width)), max_bits)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
+    kept = rows.groupBy("root").agg(F.min(key).alias("k")).select(
+        F.col("k.doc_id").alias("kept_id"), F.col("k.mark").alias("kept_mark"))
+    given = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    given = given.withColumns({"id": F.col("row")[id_col],
+                               "mark": F.xxhash64(F.col("row")[text_col])})
+    found = given.join(kept, F.col("id").eqNullSafe(F.col("kept_id"))
+                       & (F.col("mark") == F.col("kept_mark")))
+    return found.dropDuplicates(["id", "mark"]).select("row.*")
