@@ -27,9 +27,11 @@ by_value(__name__)
 CATEGORIES = ("quality", "toxic")
 # Bounds of training: labelled rows, features per category, folds.
 MOST_LABELLED = 8_000
-FEATURES = 512
+FEATURES = 256
 FOLDS = 4
-LEAST_DOCUMENTS = 4
+LEAST_DOCUMENTS = 8
+# Words added to a text's length, so that one word of a short text is not a large share.
+SMOOTH_WORDS = 30
 STARTS = range(3, 9)
 PENALTY = 1.0
 # Least probability of a toxic text.
@@ -75,10 +77,10 @@ class _Ids(dict):
 
 
 def _values(text: str | None, ids: _Ids, size: int) -> np.ndarray:
-    """log(1 + percentage of the words that have the feature), per feature."""
+    """log(1 + percentage of the words, and some more, that have the feature), per feature."""
     words = _words(text)
     found = np.fromiter(chain.from_iterable(map(ids.__getitem__, words)), np.int64)
-    return np.log1p(100.0 * np.bincount(found, minlength=size) / max(1, len(words)))
+    return np.log1p(100.0 * np.bincount(found, minlength=size) / (len(words) + SMOOTH_WORDS))
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch],
