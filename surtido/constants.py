@@ -60,13 +60,21 @@ DATE_FORMATS = (
     "M/d/yyyy H:mm:ss",
     "M/d/yyyy H:mm",
     "M/d/yyyy",
+    "yyyy/M/d H:mm:ss",
+    "yyyy/M/d H:mm",
+    "yyyy/M/d",
+    "d-MMM-yyyy H:mm:ss",
+    "d-MMM-yyyy H:mm",
+    "d-MMM-yyyy",
+    "d MMM yyyy",
+    "MMM d, yyyy",
 )
 
 # --- Fixed values: numbers ----------------------------------------------------
 
 MIN_ACTIVE_DAYS = 5          # distinct sale days a product needs in the last month
 RECENT_DAYS = 30             # window of the recent-sales query
-PRODUCT_LIST_LIMIT = 500     # size of the product selector
+PRODUCT_LIST_LIMIT = 500     # products on one page of the selector
 LABEL_NAME_LENGTH = 40       # characters of the name shown in the selector
 MIN_MONTH_COVERAGE = 25      # sale days a month needs to enter a series
 FENCE_WIDTH = 3.0            # outlier fences, in interquartile ranges

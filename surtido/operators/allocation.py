@@ -67,7 +67,7 @@ def to_forecast_rows(allocated: DataFrame) -> DataFrame:
     return allocated.select(
         "id_producto",
         F.col("fecha_prediccion").cast("date").alias("fecha_prediccion"),
-        round_half_even(F.col("unidades_predichas")).cast("int").alias("unidades_predichas"),
-        round_half_even(F.col("unidades_vendidas")).cast("int").alias("unidades_vendidas"),
+        round_half_even(F.col("unidades_predichas")).cast("bigint").alias("unidades_predichas"),
+        round_half_even(F.col("unidades_vendidas")).cast("bigint").alias("unidades_vendidas"),
         F.col("confianza_modelo").cast(CONFIDENCE).alias("confianza_modelo"),
     )

@@ -80,17 +80,22 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     return normalize_lines(drop_exact_duplicates(keep_sales(raw)))
 
 
-def clean_stream(raw: DataFrame, lateness: str = "1 hour", spread: int = 16) -> DataFrame:
-    """The same cleaning for a stream of lines.
+ARRIVED = "_llegada"
 
-    Copies are dropped when they arrive within ``lateness`` of each other, which bounds
-    the state Spark keeps. A stream has no partial step before its shuffle, so a line with
-    very many copies is first reduced in ``spread`` groups; the group is the number of the
-    input task, which a repeated task keeps.
+
+def clean_stream(raw: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """The same cleaning for a stream of lines, whatever the order of their invoice dates.
+
+    The watermark is the time of arrival: no line is late, and copies are dropped when they
+    arrive within ``lateness`` of each other, which bounds the state Spark keeps. A stream
+    has no partial step before its shuffle, so a line with very many copies is first reduced
+    in as many groups as the shuffle has partitions; the group is the number of the input
+    task, which a repeated task keeps.
     """
-    kept = keep_sales(raw).withColumn("InvoiceDate", F.col("InvoiceDate").cast("timestamp"))
-    kept = kept.withWatermark("InvoiceDate", lateness)
-    columns = kept.columns
-    grouped = kept.withColumn("_grupo", F.spark_partition_id() % spread)
+    groups = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = raw.columns
+    kept = keep_sales(raw).withColumn(ARRIVED, F.current_timestamp())
+    kept = kept.withWatermark(ARRIVED, lateness)
+    grouped = kept.withColumn("_grupo", F.spark_partition_id() % groups)
     once_a_group = grouped.dropDuplicatesWithinWatermark([*columns, "_grupo"]).drop("_grupo")
-    return normalize_lines(once_a_group.dropDuplicatesWithinWatermark())
+    return normalize_lines(once_a_group.dropDuplicatesWithinWatermark(columns).drop(ARRIVED))

@@ -79,35 +79,90 @@ def orphans(facts: DataFrame, productos: DataFrame) -> DataFrame:
     return used.join(productos.select("id_producto"), "id_producto", "left_anti")
 
 
+def with_known(facts: DataFrame, productos: DataFrame, name: str = "conocido") -> DataFrame:
+    """The facts with a flag: is their product, if they name one, in the catalogue?"""
+    known = productos.select("id_producto").distinct().withColumn("_hay", F.lit(True))
+    tagged = facts.join(known, "id_producto", "left")
+    return tagged.select(*facts.columns, (
+        F.col("_hay").isNotNull() | F.col("id_producto").isNull()).alias(name))
+
+
 def split_orphans(facts: DataFrame, productos: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lenient reference check: (rows with a known or no product, rows to set aside)."""
-    known = productos.select("id_producto").distinct()
-    bad = facts.filter(F.col("id_producto").isNotNull()).join(known, "id_producto", "left_anti")
-    good = facts.join(known, "id_producto", "left_semi").unionByName(
-        facts.filter(F.col("id_producto").isNull()))
-    return good, bad.select(*facts.columns)
+    """Lenient reference check: (rows with a known or no product, rows to set aside).
+
+    Each side is one tagged pass; a job that wants both stores :func:`with_known` once.
+    """
+    tagged = with_known(facts, productos)
+    return (tagged.filter("conocido").drop("conocido"),
+            tagged.filter(~F.col("conocido")).drop("conocido"))
+
+
+def _as_rules(row: DataFrame, table: str) -> DataFrame:
+    """``tabla, restriccion, filas`` from one row with a count per rule."""
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("restriccion"), F.col(f"`{name}`").alias("filas"))
+        for name in row.columns
+    ])
+    return row.select(F.explode(pairs).alias("r")).select(
+        F.lit(table).alias("tabla"), "r.restriccion", "r.filas")
+
 
+def _sums(counts: DataFrame, names: list[str]) -> DataFrame:
+    return counts.agg(*[F.coalesce(F.sum(f"`{n}`"), F.lit(0)).cast("bigint").alias(n)
+                        for n in names])
 
-def _total(df: DataFrame, table: str, name: str) -> DataFrame:
-    return df.agg(F.coalesce(F.sum("filas"), F.lit(0)).alias("filas")).select(
-        F.lit(table).alias("tabla"), F.lit(name).alias("restriccion"), "filas")
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """One row, ``repetidas``: rows beyond the first one of their whole-number key.
+
+    32,768 neighbouring keys are one bitmap. Keys that follow each other, as generated ones
+    do, collapse inside each task, and what travels is a bitmap per range, not a row per key.
+    """
+    value = F.col(key).cast("bigint")
+    ranges = df.where(value.isNotNull()).groupBy(F.bitmap_bucket_number(value).alias("tramo")).agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("claves"))
+    return ranges.agg(F.coalesce(
+        F.sum(F.col("filas") - F.bitmap_count("claves")), F.lit(0)).alias("repetidas"))
+
+
+def _check_products(productos: DataFrame) -> DataFrame:
+    """Row rules and key of the catalogue, in one pass."""
+    rules = _row_rules()["productos"]
+    repeated = "id_producto primary key"
+    counts = productos.groupBy("id_producto").agg(
+        *[F.count_if(rule).alias(name) for name, rule in rules.items()],
+        F.count(F.lit(1)).alias("filas"))
+    counts = counts.withColumn(repeated, F.when(
+        F.col("id_producto").isNotNull(), F.col("filas") - 1).otherwise(0))
+    return _as_rules(_sums(counts, [*rules, repeated]), "productos")
+
+
+def _check_facts(facts: DataFrame, table: str, productos: DataFrame, key: str) -> DataFrame:
+    """Row rules and references of a fact table in one pass, and its key in one more column."""
+    rules = _row_rules()[table]
+    unknown = "id_producto references productos"
+    counts = facts.groupBy("id_producto").agg(
+        *[F.count_if(rule).alias(name) for name, rule in rules.items()],
+        F.count(F.lit(1)).alias("filas"))
+    known = productos.select("id_producto").distinct().withColumn("conocido", F.lit(True))
+    counts = counts.join(known, "id_producto", "left").withColumn(unknown, F.when(
+        F.col("id_producto").isNotNull() & F.col("conocido").isNull(), F.col("filas")).otherwise(0))
+    checked = _as_rules(_sums(counts, [*rules, unknown]), table)
+    if key not in facts.columns:
+        return checked
+    repeated = repeated_keys(facts, key).withColumnRenamed("repetidas", f"{key} primary key")
+    return checked.unionByName(_as_rules(repeated, table))
 
 
 def validate_constraints(productos: DataFrame, ventas: DataFrame,
                          predicciones: DataFrame) -> DataFrame:
-    """Every constraint with the number of rows that break it (0 where it holds)."""
-    parts = [
-        row_violations(productos, "productos"),
-        row_violations(ventas, "ventas"),
-        row_violations(predicciones, "predicciones"),
-        _total(duplicate_keys(productos, "id_producto"), "productos", "id_producto primary key"),
-        _total(orphans(ventas, productos), "ventas", "id_producto references productos"),
-        _total(orphans(predicciones, productos), "predicciones",
-               "id_producto references productos"),
-    ]
-    if "id_venta" in ventas.columns:
-        parts.append(_total(duplicate_keys(ventas, "id_venta"), "ventas", "id_venta primary key"))
-    if "id_prediccion" in predicciones.columns:
-        parts.append(_total(duplicate_keys(predicciones, "id_prediccion"), "predicciones",
-                            "id_prediccion primary key"))
-    return reduce(DataFrame.unionByName, parts)
+    """Every constraint with the number of rows that break it (0 where it holds).
+
+    For a key these are the rows beyond the first one, which a database would refuse.
+    """
+    return reduce(DataFrame.unionByName, (
+        _check_products(productos),
+        _check_facts(ventas, "ventas", productos, "id_venta"),
+        _check_facts(predicciones, "predicciones", productos, "id_prediccion"),
+    ))

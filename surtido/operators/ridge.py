@@ -29,16 +29,18 @@ WIDTH = len(FEATURES)
 PAIRS = [(i, j) for i in range(WIDTH) for j in range(i, WIDTH)]
 
 
-def with_blocks(rows: DataFrame) -> DataFrame:
+def with_blocks(rows: DataFrame, min_rows: int = MIN_ROWS_FOR_SEARCH) -> DataFrame:
     """Number the blocks of the time-ordered folds.
 
     With blocks of ``n div 5`` rows, fold k trains on blocks 0..k and tests on block k+1;
-    block 0 also takes the remainder. A series too short to search is one block.
+    block 0 also takes the remainder. A series below ``min_rows`` is one block.
     """
+    if min_rows <= CV_SPLITS:
+        raise ValueError(f"a search needs at least {CV_SPLITS + 1} rows")
     size = F.floor(F.col("n") / (CV_SPLITS + 1))
     head = F.col("n") - CV_SPLITS * size
     block = F.when(
-        (F.col("n") >= MIN_ROWS_FOR_SEARCH) & (F.col("fila") >= head),
+        (F.col("n") >= min_rows) & (F.col("fila") >= head),
         F.floor((F.col("fila") - head) / size) + 1,
     ).otherwise(0)
     return rows.withColumn("bloque", block.cast("int"))
@@ -62,14 +64,14 @@ def _moments() -> Column:
     return F.expr(f"array({', '.join(sums)})")
 
 
-def moments(rows: DataFrame) -> DataFrame:
+def moments(rows: DataFrame, min_rows: int = MIN_ROWS_FOR_SEARCH) -> DataFrame:
     """Moments per series and block, of the scaled features and the centred target.
 
     Centring by the series mean keeps the sums small; the intercept is free, so it changes
     no coefficient.
     """
     placed = rows if "fila" in rows.columns else with_position(rows)
-    scaled = with_blocks(scaled_features(placed)).withColumn(
+    scaled = with_blocks(scaled_features(placed), min_rows).withColumn(
         "y_media", F.avg(TARGET).over(whole_series())
     ).withColumn("y", F.col(TARGET) - F.col("y_media"))
     end = F.struct(F.col("fecha").alias("ultima"), F.col("tendencia").alias("tendencia_fin"),
@@ -123,7 +125,8 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield batch.iloc[start:start + SERIES_AT_ONCE].reset_index(drop=True)
 
 
-def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _solve_batches(batches: Iterator[pd.DataFrame], min_rows: int,
+                   fallback: float) -> Iterator[pd.DataFrame]:
     grid = np.array(ALPHA_GRID)
     for batch in _pieces(batches):
         per_block = np.array([
@@ -133,9 +136,9 @@ def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upto = per_block.cumsum(axis=1)
         total = upto[:, -1]
         count = total[:, -1]
-        alpha = np.full(len(batch), FALLBACK_ALPHA)
+        alpha = np.full(len(batch), float(fallback))
         cv_rmse = np.full(len(batch), np.nan)
-        searched = count >= MIN_ROWS_FOR_SEARCH
+        searched = count >= min_rows
         if searched.any():
             # axes: series, fold, alpha
             train = upto[searched][:, :CV_SPLITS, None, :]
@@ -154,6 +157,7 @@ def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "n": count.astype("int64"),
             "alpha": alpha,
             "cv_rmse": [None if np.isnan(v) else v for v in cv_rmse],
+            "buscada": searched,
             "intercepto": intercept + batch["y_media"].to_numpy(),
             "coef": list(coef),
             "media": batch["media"],
@@ -165,43 +169,67 @@ def _solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 # Where a series ends: its last month, that month's trend index, its newest log values.
 STATE = ("ultima", "tendencia_fin", "h1", "h2", "h3")
 MODEL = (
-    f"{KEY} string, n bigint, alpha double, cv_rmse double, intercepto double, "
+    f"{KEY} string, n bigint, alpha double, cv_rmse double, buscada boolean, "
+    "intercepto double, "
     "coef array<double>, media array<double>, escala array<double>, "
     "ultima date, tendencia_fin int, h1 double, h2 double, h3 double"
 )
 
 
-def fit_models(rows: DataFrame) -> DataFrame:
+def fit_models(rows: DataFrame, min_rows: int = MIN_ROWS_FOR_SEARCH,
+               fallback: float = FALLBACK_ALPHA) -> DataFrame:
     """One tuned model per series, with its scaler and the state the series ends in.
 
-    The alpha with the lowest mean RMSE over the folds wins, the first one on ties; series
-    below six rows take the fallback.
+    The alpha with the lowest mean RMSE over the folds wins, the first one on ties. A series
+    below ``min_rows`` rows has no folds: it takes ``fallback``, and ``buscada`` says so.
     """
-    by_series = moments(rows).groupBy(KEY).agg(
+    by_series = moments(rows, min_rows).groupBy(KEY).agg(
         F.array(*[F.max(F.when(F.col("bloque") == b, F.col("sumas")))
                   for b in range(CV_SPLITS + 1)]).alias("bloques"),
         F.first("media").alias("media"), F.first("escala").alias("escala"),
         F.first("y_media").alias("y_media"), F.max("fin").alias("fin"),
     )
-    return by_series.select("*", "fin.*").drop("fin").mapInPandas(_solve_batches, MODEL)
+    return by_series.select("*", "fin.*").drop("fin").mapInPandas(
+        lambda batches: _solve_batches(batches, min_rows, fallback), MODEL)
 
 
 def predict(rows: DataFrame, models: DataFrame) -> DataFrame:
     """Predicted log value of every row by the model of its series, not below 0."""
+    model = models.select(KEY, "alpha", "intercepto", "coef", "media", "escala")
+    return _predicted(rows.join(model, KEY))
+
+
+def _predicted(rows: DataFrame) -> DataFrame:
+    """``prediccion`` of rows that carry their model."""
     terms = [f"(cast({name} as double) - media[{i}]) / escala[{i}] * coef[{i}]"
              for i, name in enumerate(FEATURES)]
     total = F.expr(f"intercepto + {' + '.join(terms)}")
-    model = models.select(KEY, "alpha", "intercepto", "coef", "media", "escala")
-    return rows.join(model, KEY).withColumn("prediccion", clip(total, low=0.0)).drop(
+    return rows.withColumn("prediccion", clip(total, low=0.0)).drop(
         "intercepto", "coef", "media", "escala")
 
 
 def backtest_rows(prepared: DataFrame) -> DataFrame:
-    """Actual and predicted units of the test rows, by models fitted on the train rows."""
+    """Actual and predicted units of the test rows, by models fitted on the train rows.
+
+    The test rows of a series, at most a fifth of its months, travel as one list and meet
+    the model in a group by the series, so nothing is joined. Series without a train row
+    have no model and no rows here; ``Training.skipped`` names them.
+    """
     split = time_split(prepared)
     train = split.filter(F.col("parte") == "train").drop("fila", "n", "parte")
-    test = split.filter(F.col("parte") == "test")
-    return predict(test, fit_models(train)).select(
+    row = F.struct("fecha", TARGET, *FEATURES)
+    tests = split.filter(F.col("parte") == "test").groupBy(KEY).agg(
+        F.collect_list(row).alias("filas"))
+    model = F.struct("alpha", "intercepto", "coef", "media", "escala")
+    parts = fit_models(train).select(KEY, model.alias("modelo")).unionByName(
+        tests, allowMissingColumns=True)
+    together = parts.groupBy(KEY).agg(
+        F.first("modelo", ignorenulls=True).alias("modelo"),
+        F.first("filas", ignorenulls=True).alias("filas"))
+    rows = together.filter(F.col("modelo").isNotNull()).select(
+        KEY, "modelo.*", F.explode("filas").alias("f")).select(
+        KEY, "alpha", "intercepto", "coef", "media", "escala", "f.*")
+    return _predicted(rows).select(
         KEY, "fecha", "alpha",
         F.expm1(TARGET).alias("ventas_reales"),
         F.expm1("prediccion").alias("ventas_predichas"),

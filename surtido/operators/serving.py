@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surtido.constants import (
-    LABEL_NAME_LENGTH, NO_CONFIDENCE_TEXT, PRODUCT_LIST_LIMIT, RECENT_DAYS,
+    LABEL_NAME_LENGTH, NO_CONFIDENCE_TEXT, RECENT_DAYS,
 )
 from surtido.functions import month_start
 
@@ -42,14 +42,17 @@ def kpis(ventas: DataFrame, productos: DataFrame) -> DataFrame:
     ).withColumn("productos_distintos", products.cast("bigint"))
 
 
-def product_list(productos: DataFrame, limit: int = PRODUCT_LIST_LIMIT) -> DataFrame:
-    """First products by name: a top-k per task, merged once."""
-    return productos.select("id_producto", "nombre").orderBy("nombre", "id_producto").limit(limit)
+def product_list(productos: DataFrame, limit: int | None = None) -> DataFrame:
+    """Products by name; with ``limit`` the first ones, a top-k per task, merged once."""
+    listed = productos.select("id_producto", "nombre").orderBy("nombre", "id_producto")
+    return listed if limit is None else listed.limit(limit)
 
 
-def product_labels(products: DataFrame) -> DataFrame:
-    name = F.substring("nombre", 1, LABEL_NAME_LENGTH)
-    return products.select("id_producto", F.concat_ws(" — ", "id_producto", name).alias("etiqueta"))
+def product_labels(products: DataFrame, length: int = LABEL_NAME_LENGTH) -> DataFrame:
+    """A label per product: its code and the first ``length`` signs of its name."""
+    name = F.substring("nombre", 1, length)
+    return products.select("id_producto", "nombre",
+                           F.concat_ws(" — ", "id_producto", name).alias("etiqueta"))
 
 
 def daily_sales(ventas: DataFrame, product: str | None = None) -> DataFrame:
@@ -72,7 +75,10 @@ def recent_sales(ventas: DataFrame, product: str | None = None,
 
 
 def recent_sales_sql(ventas: DataFrame, product: str, days: int = RECENT_DAYS) -> DataFrame:
-    """The one-product form as parameterised SQL with a scalar subquery."""
+    """The one-product form for SQL clients: parameters and a correlated maximum in one text.
+
+    :func:`recent_sales` gives the same rows from one scan and is what the library uses.
+    """
     query = """
         SELECT id_producto, fecha_venta, sum(unidades_vendidas) AS unidades
         FROM {ventas}

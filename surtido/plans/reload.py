@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,9 @@ from surtido.operators.forecast import forecast_next_year
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import demand_series
 from surtido.plans.training import Training
+from surtido.session import (
+    SETTINGS, ensure_checkpoint_dir, list_folder, move_folder, remove_folder,
+)
 from surtido.sinks import (
     append_forecasts, append_sales, clear_tables, insert_ignore, write_clean,
     write_forecast_csv, write_metrics, write_model, write_series, write_valid,
@@ -78,22 +82,31 @@ def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN
     append_forecasts(rows, warehouse)
 
 
-def reload(spark: SparkSession, path: str, warehouse: str, *, min_days: int = MIN_ACTIVE_DAYS,
+def reload(spark: SparkSession, path: str | Sequence[str], warehouse: str, *, min_days: int = MIN_ACTIVE_DAYS,
            min_coverage: int = MIN_MONTH_COVERAGE, placeholder_confidence: bool = False,
            multi_line: bool = False, file_format: str | None = None,
            audit: bool = True) -> None:
     """Load, clean, split, store, train, forecast and store again.
 
     Leaves in ``warehouse``: ventas_limpias, auditoria, productos, ventas, predicciones,
-    serie_mensual, modelo, metricas and predicciones_ridge. The audit reads the input a second time.
+    productos_validos, serie_mensual, modelo, metricas and predicciones_ridge. Several files
+    are one data set. Everything is written beside the stored tables first and takes their
+    place at the end, so a job that fails leaves them as they were.
     """
-    raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
-    clean = store_clean(raw, warehouse)
-    if audit:
-        store_audit(raw, clean, warehouse, min_days)
-    store_tables(clean, warehouse, min_days)
-    store_forecasts(clean, warehouse, min_coverage=min_coverage,
-                    placeholder_confidence=placeholder_confidence)
+    ensure_checkpoint_dir(spark)  # settings that are missing stop the job before it works
+    aside = f"{warehouse}/_nuevo-{uuid.uuid4().hex}"
+    try:
+        raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
+        clean = store_clean(raw, aside)
+        if audit:
+            store_audit(raw, clean, aside, min_days)
+        store_tables(clean, aside, min_days)
+        store_forecasts(clean, aside, min_coverage=min_coverage,
+                        placeholder_confidence=placeholder_confidence)
+        for name in list_folder(spark, aside):
+            move_folder(spark, f"{aside}/{name}", f"{warehouse}/{name}")
+    finally:
+        remove_folder(spark, aside)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -104,7 +117,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--multi-line", action="store_true",
                         help="the CSV has line breaks inside quotes")
     options = parser.parse_args(arguments)
-    spark = SparkSession.builder.appName("surtido-reload").getOrCreate()
+    builder = SparkSession.builder.appName("surtido-reload")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     reload(spark, options.input, options.warehouse, multi_line=options.multi_line,
            file_format=options.format)
 

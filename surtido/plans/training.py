@@ -44,8 +44,18 @@ class Training:
     @cached_property
     def too_short(self) -> DataFrame:
         """Series without enough months for a feature row."""
+        return self.skipped.filter(F.col("meses") <= 3).drop("motivo")
+
+    @cached_property
+    def skipped(self) -> DataFrame:
+        """Series that lack a result, with the reason: ``series_key, meses, motivo``.
+
+        Three months go into the lags of a row, and the backtest takes at least one row.
+        """
         months = self.series.groupBy(KEY).agg(F.count(F.lit(1)).alias("meses"))
-        return months.filter(F.col("meses") <= 3)
+        reason = F.when(F.col("meses") <= 3, "sin modelo").when(
+            F.col("meses") == 4, "sin backtest")
+        return months.withColumn("motivo", reason).filter(F.col("motivo").isNotNull())
 
 
 def train(sales: DataFrame, keys: Sequence[str] = (),

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surtido.operators.allocation import allocate, global_rows, product_shares, to_forecast_rows
-from surtido.operators.catalog import split_tables
+from surtido.operators.catalog import split_tables, valid_products
 from surtido.operators.cleaning import clean_lines, keep_sales, normalize_lines
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import KEY, covered_months, monthly_units
-from surtido.plans.reload import store_clean
 from surtido.schemas import to_stored
-from surtido.session import ensure_checkpoint_dir
+from surtido.session import fresh_folder
+from surtido.sinks import write_series, write_valid
 from surtido.sources.invoices import invoice_lines
 
 # Series by country: a country sells on too few days for the coverage of the global series.
@@ -38,14 +36,18 @@ def sold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(productos, ventas) with stored types."""
-    productos, ventas = split_tables(clean(spark, folder))
+    """(productos, ventas) with stored types; copies of lines do not change who is valid."""
+    productos, ventas = split_tables(
+        clean(spark, folder), valid=valid_products(sold(spark, folder)))
     return to_stored(productos, "productos"), to_stored(ventas, "ventas")
 
 
-def mean_forecast(lines: DataFrame) -> DataFrame:
+def months_of(lines: DataFrame) -> DataFrame:
+    return covered_months(monthly_units(lines))
+
+
+def mean_forecast(monthly: DataFrame) -> DataFrame:
     """Stand-in forecast without a model: the mean of the same month of all years."""
-    monthly = covered_months(monthly_units(lines))
     year = monthly.agg(F.year(F.max("fecha")) + 1).scalar()
     means = monthly.groupBy(KEY, F.month("fecha").alias("mes")).agg(
         (F.sum("ventas").cast("double") / F.count(F.lit(1))).alias("ventas_predichas"))
@@ -54,29 +56,27 @@ def mean_forecast(lines: DataFrame) -> DataFrame:
         F.col("ventas_predichas").alias("ventas_reales"))
 
 
-def mean_fit(lines: DataFrame) -> DataFrame:
+def mean_fit(monthly: DataFrame) -> DataFrame:
     """Actual units and the mean of their calendar month, as pairs to score."""
     same_month = Window.partitionBy(KEY, F.month("fecha"))
     mean = F.sum("ventas").over(same_month).cast("double") / F.count(F.lit(1)).over(same_month)
-    return covered_months(monthly_units(lines)).select(
+    return monthly.select(
         KEY, "fecha", F.col("ventas").cast("double").alias("ventas_reales"),
         mean.alias("ventas_predichas"))
 
 
-def fresh_folder(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-
-
 def planned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(productos, ventas, predicciones), with the stand-in forecast.
 
-    Many branches start at the clean lines, so these are written first, as in the reload.
+    Many branches start at the same few months and products, so these are written first, as
+    in the reload, and the branches scan rows that are summed already.
     """
-    lines = store_clean(raw(spark, folder), fresh_folder(spark))
-    productos, ventas = split_tables(lines)
-    forecast = mean_forecast(lines)
-    score = confidence(error_metrics(mean_fit(lines))).select("confianza").scalar()
+    warehouse = fresh_folder(spark)
+    productos, ventas = split_tables(
+        clean(spark, folder), valid=write_valid(valid_products(sold(spark, folder)), warehouse))
+    monthly = write_series(months_of(clean(spark, folder)), warehouse)
+    forecast = mean_forecast(monthly)
+    score = confidence(error_metrics(mean_fit(monthly))).select("confianza").scalar()
     rows = allocate(forecast, product_shares(ventas), score)
     predicciones = to_forecast_rows(rows.unionByName(global_rows(forecast, score)))
     return to_stored(productos, "productos"), to_stored(ventas, "ventas"), predicciones
@@ -224,13 +224,13 @@ MEAN_FORECAST = (
     FROM ventas GROUP BY id_producto"""),
     ("predicciones", """
     SELECT id_producto, fecha AS fecha_prediccion,
-        CAST(round_even(ventas_predichas * cuota, 0) AS INTEGER) AS unidades_predichas,
-        CAST(round_even(ventas_reales * cuota, 0) AS INTEGER) AS unidades_vendidas,
+        CAST(round_even(ventas_predichas * cuota, 0) AS BIGINT) AS unidades_predichas,
+        CAST(round_even(ventas_reales * cuota, 0) AS BIGINT) AS unidades_vendidas,
         CAST((SELECT confianza FROM score) AS DECIMAL(5,4)) AS confianza_modelo
     FROM forecast CROSS JOIN shares
     UNION ALL
-    SELECT NULL, fecha, CAST(round_even(ventas_predichas, 0) AS INTEGER),
-        CAST(round_even(ventas_reales, 0) AS INTEGER),
+    SELECT NULL, fecha, CAST(round_even(ventas_predichas, 0) AS BIGINT),
+        CAST(round_even(ventas_reales, 0) AS BIGINT),
         CAST((SELECT confianza FROM score) AS DECIMAL(5,4))
     FROM forecast"""),
 )

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from surtido.constants import ALPHA_GRID, FALLBACK_ALPHA, FEATURES, TARGET
 from surtido.operators import forecast as fc
 from surtido.operators import ridge as m
-from surtido.operators.features import scaling
+from surtido.operators.features import scaling, with_position
 from surtido.operators.series import KEY, whole_series
 from surtido.plans.training import train
-from surtido.registry.base import LINES, clean, monthly_ctes, r_sql, rounded, sql
+from surtido.registry.base import LINES, STORED, clean, monthly_ctes, r_sql, rounded, sql
 from surtido.registry.series import COUNTRY_PREPARED, PREPARED, country_prepared, prepared
 
 WIDTH = len(FEATURES)
@@ -89,10 +89,26 @@ def _job(s, d):
     return rounded(train(clean(s, d)).forecast, "ventas_reales", "ventas_predichas", digits=4)
 
 
+def _cut_short(forecast: DataFrame) -> DataFrame:
+    """The forecast without the last months of the nations whose number ends in 1."""
+    return forecast.filter(~F.col(KEY).endswith("1") | (F.month("fecha") <= 7))
+
+
 def _too_short(s, d):
     return train(clean(s, d), ["id_producto", "Country"], min_days=1).too_short
 
 
+def _skipped(s, d):
+    return train(clean(s, d), ["id_producto", "Country"], min_days=1).skipped
+
+
+def _last_rows(rows: DataFrame) -> DataFrame:
+    """The last one to six rows of a nation, by its number: some are too few to search."""
+    number = F.regexp_extract(KEY, r"(\d+)$", 1).cast("int")
+    placed = with_position(rows)
+    return placed.filter(F.col("fila") >= F.col("n") - 1 - number % 6).drop("fila", "n")
+
+
 QUERIES = {
     "cv_folds": lambda s, d: m.cv_folds(country_prepared(s, d)),
     "ridge_gram": lambda s, d: _gram(prepared(s, d)),
@@ -109,9 +125,12 @@ QUERIES = {
         fc.recursive_steps(_fixed_models(country_prepared(s, d))), "prediccion"),
     "forecast_next_year": _job,
     "forecast_next_year_by_country": lambda s, d: _forecast(m.fit_models(country_prepared(s, d))),
-    "incomplete_forecasts": lambda s, d: fc.incomplete_forecasts(
-        fc.forecast_next_year(m.fit_models(country_prepared(s, d)))),
+    "incomplete_forecasts": lambda s, d: fc.incomplete_forecasts(_cut_short(
+        fc.forecast_next_year(m.fit_models(country_prepared(s, d))))),
     "short_series": _too_short,
+    "skipped_series": _skipped,
+    "alpha_selected_short": lambda s, d: _alphas(
+        m.fit_models(_last_rows(country_prepared(s, d)))),
 }
 
 # --- SQL ----------------------------------------------------------------------
@@ -270,6 +289,20 @@ _COUNTRY_FIT = (*COUNTRY_PREPARED, *_fit_ctes(_ALL_ROWS))
 _TRAIN = (*PREPARED, *_fit_ctes(_TRAIN_ROWS), _SCALES, *_BACKTEST)
 _COUNTRY_TRAIN = (*COUNTRY_PREPARED, *_fit_ctes(_TRAIN_ROWS), _SCALES, *_BACKTEST)
 
+# The stored forecast of the whole job: ridge months spread over the products by their units.
+RIDGE_PLAN = sql((*STORED, *[c for c in (*_FIT, _SCALES, *_steps("model")) if c not in STORED],
+                  ("ahead", """
+    SELECT fecha, exp(h1) - 1 AS v FROM steps WHERE year(fecha) = year(ultima) + 1"""),
+                  ("parts", """
+    SELECT id_producto, CAST(sum(unidades_vendidas) AS DOUBLE)
+        / (SELECT CAST(sum(unidades_vendidas) AS DOUBLE) FROM ventas) AS cuota
+    FROM ventas GROUP BY id_producto
+    UNION ALL SELECT NULL, 1.0""")), """
+    SELECT id_producto, fecha AS fecha_prediccion,
+        CAST(round_even(v * cuota, 0) AS BIGINT) AS unidades_predichas,
+        CAST(round_even(v * cuota, 0) AS BIGINT) AS unidades_vendidas, TRUE AS con_clave
+    FROM ahead CROSS JOIN parts""", recursive=True)
+
 ORACLES = {
     "cv_folds": sql(COUNTRY_PREPARED, """
         SELECT series_key, n, CAST(k AS INTEGER) AS pliegue,
@@ -307,8 +340,18 @@ ORACLES = {
                                          recursive=True),
     "incomplete_forecasts": sql((*_COUNTRY_FIT, _SCALES, *_steps("model")), """
         SELECT series_key, count(*) AS meses FROM steps WHERE year(fecha) = year(ultima) + 1
+            AND (series_key NOT LIKE '%1' OR month(fecha) <= 7)
         GROUP BY series_key HAVING count(*) <> 12""", recursive=True),
     "short_series": sql((*LINES, *monthly_ctes("id_producto || '|' || \"Country\"", 1)), """
         SELECT series_key, count(*) AS meses FROM covered
         GROUP BY series_key HAVING count(*) <= 3"""),
+    "skipped_series": sql((*LINES, *monthly_ctes("id_producto || '|' || \"Country\"", 1)), """
+        SELECT series_key, count(*) AS meses,
+            CASE WHEN count(*) <= 3 THEN 'sin modelo' ELSE 'sin backtest' END AS motivo
+        FROM covered GROUP BY series_key HAVING count(*) <= 4"""),
+    "alpha_selected_short": sql((*COUNTRY_PREPARED, *_fit_ctes("""
+        SELECT * EXCLUDE (n, fila, k), CAST(fila - (n - k) AS INTEGER) AS fila, k AS n FROM (
+            SELECT *, least(n, 1 + CAST(regexp_extract(series_key, '([0-9]+)$', 1) AS INTEGER) % 6)
+                AS k FROM placed)
+        WHERE fila >= n - k""")), _ALPHA, recursive=True),
 }

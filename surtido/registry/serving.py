@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from surtido.constants import PRODUCT_LIST_LIMIT
 from surtido.operators import serving as v
 from surtido.operators.allocation import product_shares
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.registry.base import (
     PLANNED, PRODUCT, SERIES, STORED, MEAN_FORECAST, clean, listed, mean_fit, mean_forecast,
-    mean_predictions, plain, planned, r_sql, rounded, sql, stored,
+    mean_predictions, months_of, plain, planned, r_sql, rounded, sql, stored,
 )
 
 
@@ -33,13 +34,14 @@ def _investment(s, d):
 
 def _investment_arrays(s, d):
     productos, _, predicciones = planned(s, d)
-    return listed(v.investment_lists(predicciones, productos, PRODUCT), "fechas", "inversion")
+    return listed(v.investment_lists(predicciones, productos), "fechas", "inversion")
 
 
 QUERIES = {
     "kpis": _kpis,
     "product_list": lambda s, d: v.product_list(_productos(s, d)),
-    "product_label": lambda s, d: v.product_labels(v.product_list(_productos(s, d))),
+    "product_list_page": lambda s, d: v.product_list(_productos(s, d), PRODUCT_LIST_LIMIT),
+    "product_label": lambda s, d: v.product_labels(_productos(s, d)),
     "daily_sales_by_product": lambda s, d: v.daily_sales(_ventas(s, d)),
     "sales_last_30d_one": lambda s, d: v.recent_sales(_ventas(s, d), PRODUCT),
     "sales_last_30d_sql": lambda s, d: v.recent_sales_sql(_ventas(s, d), PRODUCT),
@@ -48,10 +50,10 @@ QUERIES = {
                                                "fechas", "unidades"),
     "monthly_units_last_year": lambda s, d: v.monthly_sales_last_year(_ventas(s, d)),
     "product_share": lambda s, d: product_shares(_ventas(s, d)),
-    "mean_forecast": lambda s, d: mean_forecast(clean(s, d)),
-    "fit_metrics": lambda s, d: rounded(error_metrics(mean_fit(clean(s, d))), "rmse", "mae", "r2"),
+    "mean_forecast": lambda s, d: mean_forecast(months_of(clean(s, d))),
+    "fit_metrics": lambda s, d: rounded(error_metrics(mean_fit(months_of(clean(s, d)))), "rmse", "mae", "r2"),
     "fit_confidence": lambda s, d: rounded(
-        confidence(error_metrics(mean_fit(clean(s, d)))), "confianza"),
+        confidence(error_metrics(mean_fit(months_of(clean(s, d))))), "confianza"),
     "allocate_forecast": lambda s, d: plain(mean_predictions(s, d)),
     "forecast_by_product": lambda s, d: listed(
         v.forecast_lists(mean_predictions(s, d)), "fechas", "predichas"),
@@ -107,10 +109,12 @@ ORACLES = {
             (SELECT count(*) FROM productos) AS productos_distintos
         FROM ventas"""),
     "product_list": sql(STORED, """
+        SELECT id_producto, nombre FROM productos ORDER BY nombre, id_producto"""),
+    "product_list_page": sql(STORED, """
         SELECT id_producto, nombre FROM productos ORDER BY nombre, id_producto LIMIT 500"""),
     "product_label": sql(STORED, """
-        SELECT id_producto, id_producto || ' — ' || substring(nombre, 1, 40) AS etiqueta
-        FROM (SELECT * FROM productos ORDER BY nombre, id_producto LIMIT 500)"""),
+        SELECT id_producto, nombre,
+            id_producto || ' — ' || substring(nombre, 1, 40) AS etiqueta FROM productos"""),
     "daily_sales_by_product": sql(STORED, """
         SELECT id_producto, fecha_venta, CAST(sum(unidades_vendidas) AS BIGINT) AS unidades
         FROM ventas GROUP BY ALL"""),
@@ -159,12 +163,12 @@ ORACLES = {
         FROM global_rows"""),
     "investment": sql((*PLANNED, _INVESTMENT), """
         SELECT * REPLACE (CAST(inversion AS DOUBLE) AS inversion) FROM invested"""),
-    "investment_arrays": sql((*PLANNED, _INVESTMENT), f"""
+    "investment_arrays": sql((*PLANNED, _INVESTMENT), """
         SELECT id_producto,
             string_agg(strftime(fecha_prediccion, '%Y-%m-%d'), ','
                 ORDER BY fecha_prediccion) AS fechas,
             string_agg(CAST(inversion AS VARCHAR), ',' ORDER BY fecha_prediccion) AS inversion
-        FROM invested WHERE id_producto = '{PRODUCT}' GROUP BY id_producto"""),
+        FROM invested GROUP BY id_producto"""),
     "confidence_mean": sql((*PLANNED, _MEAN),
                            f"SELECT id_producto, {r_sql('confianza')} AS confianza FROM means"),
     "confidence_gauge": sql((*PLANNED, _MEAN), f"""

@@ -6,6 +6,7 @@ The queries that write use a new folder under the shared checkpoint folder each
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
@@ -14,25 +15,32 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from surtido.constants import RECENT_DAYS
 from surtido.operators import constraints as k
 from surtido.operators.allocation import to_forecast_rows
 from surtido.operators.catalog import sales_fact
 from surtido.operators.cleaning import clean_stream, normalize_lines
 from surtido.operators.forecast import forecast_next_year
 from surtido.operators.ridge import fit_models
-from surtido.operators.serving import kpis
-from surtido.plans.reload import store_clean, store_tables
+from surtido.operators.serving import kpis, monthly_sales_last_year, recent_sales
+from surtido.plans.reload import reload, store_clean, store_tables
 from surtido.registry.base import (
     LINES, PLANNED, STORED, clean, fresh_folder, mean_predictions, plain, planned, raw, rounded,
     sql, stored,
 )
-from surtido.registry.model import ORACLES as MODEL_ORACLES
+from surtido.registry.catalog import ORACLES as CATALOG_ORACLES
+from surtido.registry.lines import ORACLES as LINES_ORACLES
+from surtido.registry.model import ORACLES as MODEL_ORACLES, RIDGE_PLAN
+from surtido.registry.serving import ORACLES as SERVING_ORACLES
 from surtido.registry.series import prepared
 from surtido.session import send_to_workers
 from surtido.sinks import (
     append_sales, clear_tables, dense_key, insert_ignore, missing_products, write_model,
 )
-from surtido.sources import load_dataset, read_model, read_stored, split_unparseable, typed
+from surtido.sources import (
+    load_dataset, read_metrics, read_model, read_recent_sales, read_stored, split_unparseable,
+    typed,
+)
 from surtido.sources.files import without_missing_tokens
 from surtido.sources.invoices import lines_of, order_tables
 from surtido.sources.workbook import workbook_rows
@@ -72,14 +80,14 @@ def _surrogate_key(s, d) -> DataFrame:
 
 
 def _sales_keys(s, d) -> DataFrame:
-    """The stored sales: their keys are 1 to n without gaps."""
+    """The stored sales: every row has a key of its own, above 0."""
     folder = fresh_folder(s)
     clear_tables(s, folder)
     append_sales(sales_fact(clean(s, d)), folder)
     ventas = read_stored(s, folder, "ventas")
     return ventas.agg(
-        F.count(F.lit(1)).alias("filas"), F.min("id_venta").alias("primera"),
-        F.max("id_venta").alias("ultima"), F.countDistinct("id_venta").alias("claves"),
+        F.count(F.lit(1)).alias("filas"), (F.min("id_venta") > 0).alias("positivas"),
+        F.countDistinct("id_venta").alias("claves"),
         F.sum("unidades_vendidas").alias("unidades"),
         F.sum("total_venta").cast("double").alias("total"))
 
@@ -157,6 +165,23 @@ def _clean_table(s, d) -> DataFrame:
     return store_clean(raw(s, d), fresh_folder(s))
 
 
+def _loaded(s, d) -> str:
+    """A folder of stored tables."""
+    folder = fresh_folder(s)
+    clear_tables(s, folder)
+    append_sales(stored(s, d)[1], folder)
+    return folder
+
+
+def _stored_recent(s, d) -> DataFrame:
+    """Recent sales from the stored months they lie in."""
+    return recent_sales(read_recent_sales(s, _loaded(s, d), days=RECENT_DAYS))
+
+
+def _stored_months(s, d) -> DataFrame:
+    return monthly_sales_last_year(read_recent_sales(s, _loaded(s, d), months=12))
+
+
 def _reloaded(s, d) -> DataFrame:
     """Key figures of the tables that a reload has stored."""
     folder = fresh_folder(s)
@@ -226,29 +251,100 @@ def _xlsx(s, d) -> DataFrame:
 
 
 def _clean_stream(s, d) -> DataFrame:
-    """Lines that arrive as a stream, cleaned and appended to a table."""
-    tables = order_tables(s, d)
-    arriving = s.readStream.schema(tables["lineitem"].schema).parquet(f"{d}/lineitem.parq*")
+    """Lines that arrive in three parts, the newest dates first, cleaned and appended.
+
+    The last part repeats invoices of the others, so copies lie in different micro-batches.
+    """
     folder = fresh_folder(s)
-    (clean_stream(lines_of(tables | {"lineitem": arriving}))
-     .writeStream.format("parquet").option("path", f"{folder}/lineas")
-     .option("checkpointLocation", f"{folder}/estado")
-     .trigger(availableNow=True).start().awaitTermination())
+    lines = raw(s, d)
+    cuts = lines.agg(F.percentile_approx(F.col("InvoiceDate").cast("timestamp").cast("long"),
+                                         F.lit([0.33, 0.66]))).scalar()
+    day = F.col("InvoiceDate").cast("timestamp").cast("long")
+    parts = (lines.where(day >= cuts[1]), lines.where((day >= cuts[0]) & (day < cuts[1])),
+             lines.where((day < cuts[0]) | F.col("InvoiceNo").endswith("3")))
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/llegadas")
+        arriving = s.readStream.schema(lines.schema).parquet(f"{folder}/llegadas")
+        (clean_stream(arriving).writeStream.format("parquet").option("path", f"{folder}/lineas")
+         .option("checkpointLocation", f"{folder}/estado")
+         .trigger(availableNow=True).start().awaitTermination())
     return s.read.parquet(f"{folder}/lineas")
 
 
 def _file_drop(s, d) -> DataFrame:
-    """Key figures of the tables reloaded when the line items arrived."""
+    """Key figures of the tables reloaded from the line items that arrived."""
     folder = fresh_folder(s)
 
-    def job(spark, path, warehouse):
-        store_tables(store_clean(raw(spark, d), warehouse), warehouse)
+    def job(spark, paths, warehouse):
+        tables = order_tables(spark, d)
+        arrived = spark.read.schema(tables["lineitem"].schema).parquet(*paths)
+        lines = lines_of(tables | {"lineitem": arrived})
+        store_tables(store_clean(lines, warehouse), warehouse)
 
     watch_landing(s, f"{d}/lineitem.parq*", folder, f"{folder}/estado",
                   job=job).awaitTermination()
     return plain(kpis(read_stored(s, folder, "ventas"), read_stored(s, folder, "productos")))
 
 
+def _load_checks(s, d) -> DataFrame:
+    """What a load says to files it must refuse, one row per case: A3 to A5 and H4."""
+    folder = fresh_folder(s)
+    lines = raw(s, d)
+    _write_csv(lines, f"{folder}/whole.csv")
+    _write_csv(lines.drop("UnitPrice", "StockCode"), f"{folder}/fewer.csv")
+    _write_csv(lines.select("UnitPrice", "Quantity", *[
+        c for c in lines.columns if c not in ("UnitPrice", "Quantity")]), f"{folder}/other.csv")
+
+    def outcome(*names) -> str:
+        try:
+            loaded = load_dataset(s, [f"{folder}/{n}" for n in names])
+            return str(loaded.agg(F.count("Quantity")).first()[0])  # a count of rows reads no column
+        except FileNotFoundError as error:
+            return f"missing file: {os.path.basename(str(error))}"
+        except ValueError as error:
+            return str(error).split(" use ")[0]
+        except Exception:  # the reader's own report of a header that differs
+            return "stopped"
+
+    cases = {"whole": ("whole.csv",), "extension": ("whole.txt",), "no file": ("none.csv",),
+             "columns": ("fewer.csv",), "other order": ("other.csv",),
+             "two orders": ("whole.csv", "other.csv")}
+    return s.createDataFrame([(c, outcome(*names)) for c, names in cases.items()],
+                             "caso string, resultado string")
+
+
+def _whole_job(s, d) -> str:
+    """The reload of a written file, as the command line runs it; the folder of its tables."""
+    folder = fresh_folder(s)
+    _write_csv(raw(s, d), f"{folder}/lineas.csv")
+    reload(s, f"{folder}/lineas.csv", f"{folder}/tablas")
+    return f"{folder}/tablas"
+
+
+def _reload_forecast(s, d) -> DataFrame:
+    """The forecast file of the whole job."""
+    months = s.read.option("header", True).schema(
+        "series_key string, fecha date, ventas_reales double, ventas_predichas double").csv(
+        f"{_whole_job(s, d)}/predicciones_ridge")
+    return rounded(months, "ventas_reales", "ventas_predichas", digits=4)
+
+
+def _reload_metrics(s, d) -> DataFrame:
+    return rounded(read_metrics(s, _whole_job(s, d)), "rmse", "mae", "r2", digits=4)
+
+
+def _reload_audit(s, d) -> DataFrame:
+    return s.read.parquet(f"{_whole_job(s, d)}/auditoria")
+
+
+def _reload_plan(s, d) -> DataFrame:
+    """Forecast rows of the whole job: real ridge units, whole numbers, spread over products."""
+    stored_rows = read_stored(s, _whole_job(s, d), "predicciones")
+    return plain(stored_rows.select("id_producto", "fecha_prediccion", "unidades_predichas",
+                                    "unidades_vendidas",
+                                    (F.col("id_prediccion") > 0).alias("con_clave")))
+
+
 QUERIES = {
     "insert_ignore": lambda s, d: plain(_insert_ignore(s, d)),
     "insert_ignore_stored": _stored_products,
@@ -270,6 +366,13 @@ QUERIES = {
     "xlsx_scan": _xlsx,
     "clean_stream": _clean_stream,
     "file_drop_stream": _file_drop,
+    "stored_sales_last_30d": _stored_recent,
+    "stored_monthly_last_year": _stored_months,
+    "load_checks": _load_checks,
+    "reload_forecast": _reload_forecast,
+    "reload_metrics": _reload_metrics,
+    "reload_audit": _reload_audit,
+    "reload_plan": _reload_plan,
 }
 
 _FACTS = ("facts", """
@@ -318,8 +421,7 @@ ORACLES = {
             * REPLACE (CAST(confianza_modelo AS DOUBLE) AS confianza_modelo)
         FROM predicciones"""),
     "sales_keys": sql(LINES, """
-        SELECT count(*) AS filas, CAST(1 AS BIGINT) AS primera, count(*) AS ultima,
-            count(*) AS claves, CAST(sum(unidades_vendidas) AS BIGINT) AS unidades,
+        SELECT count(*) AS filas, TRUE AS positivas, count(*) AS claves, CAST(sum(unidades_vendidas) AS BIGINT) AS unidades,
             CAST(sum(CAST(total_venta AS DECIMAL(10,2))) AS DOUBLE) AS total
         FROM clean"""),
     "clear_tables": sql(STORED, """
@@ -345,8 +447,8 @@ ORACLES = {
         SELECT * FROM facts WHERE id_producto NOT IN (SELECT id_producto FROM productos)"""),
     "null_safe_round_cast": sql(PLANNED, """
         SELECT id_producto, fecha_prediccion,
-            CAST(round_even(unidades_predichas / 4, 0) AS INTEGER) AS unidades_predichas,
-            CAST(round_even(unidades_vendidas / 8, 0) AS INTEGER) AS unidades_vendidas,
+            CAST(round_even(unidades_predichas / 4, 0) AS BIGINT) AS unidades_predichas,
+            CAST(round_even(unidades_vendidas / 8, 0) AS BIGINT) AS unidades_vendidas,
             CASE WHEN month(fecha_prediccion) % 2 = 0 THEN CAST(0.8765 AS DOUBLE) END
                 AS confianza_modelo
         FROM predicciones"""),
@@ -361,5 +463,22 @@ ORACLES = {
         FROM raw"""),
     "xlsx_scan": sql(LINES, "SELECT * FROM raw"),
     "clean_stream": sql(LINES, "SELECT * FROM clean"),
+    "load_checks": """
+        SELECT * FROM (VALUES
+            ('whole', (SELECT CAST(count(*) AS VARCHAR) FROM ({rows}))),
+            ('extension', 'unsupported format ''.txt'':'),
+            ('no file', 'missing file: none.csv'),
+            ('columns', 'missing required columns: StockCode, UnitPrice'),
+            ('other order', (SELECT CAST(count(*) AS VARCHAR) FROM ({rows}))),
+            ('two orders', 'stopped')) c(caso, resultado)""".format(
+        rows=sql(LINES, "SELECT 1 FROM raw")),
+    "reload_forecast": MODEL_ORACLES["forecast_next_year"],
+    "reload_metrics": MODEL_ORACLES["backtest_metrics"],
+    "reload_audit": f"""
+        SELECT orden, paso, filas FROM ({LINES_ORACLES["clean_audit"]})
+        UNION ALL SELECT orden + 5, medida, filas FROM ({CATALOG_ORACLES["split_counts"]})""",
     "file_drop_stream": sql(STORED, _KPIS),
+    "reload_plan": RIDGE_PLAN,
+    "stored_sales_last_30d": SERVING_ORACLES["sales_last_30d_all"],
+    "stored_monthly_last_year": SERVING_ORACLES["monthly_units_last_year"],
 }

@@ -31,11 +31,15 @@ PREDICCIONES = T.StructType([
     T.StructField("id_prediccion", T.LongType(), False),
     T.StructField("id_producto", T.StringType(), True),
     T.StructField("fecha_prediccion", T.DateType(), False),
-    T.StructField("unidades_predichas", T.IntegerType(), True),
-    T.StructField("unidades_vendidas", T.IntegerType(), True),
+    # Wider than the four bytes of a database INT: a month of all units passes 2**31 at scale.
+    T.StructField("unidades_predichas", T.LongType(), True),
+    T.StructField("unidades_vendidas", T.LongType(), True),
     T.StructField("confianza_modelo", CONFIDENCE, True),
 ])
 
+# The sales as they lie in the warehouse, in a folder per month.
+SALES = T.StructType([*VENTAS, T.StructField("mes", T.DateType(), True)])
+
 STORED = {"productos": PRODUCTOS, "ventas": VENTAS, "predicciones": PREDICCIONES}
 
 # Longest text each stored column takes.

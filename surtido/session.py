@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -52,9 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where that setting is missing and the session
-    runs on one machine; a cluster without a shared folder is an error, because a
-    machine-local folder does not survive the loss of an executor.
+    A session on one machine without that setting uses a folder in its warehouse; a
+    cluster without a shared folder is an error, because a machine-local folder does not
+    survive the loss of an executor.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -66,6 +66,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="surtido-checkpoint-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     context.setCheckpointDir(named)
     return named
+
+
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this session made, on whatever file system it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in system.listStatus(path))
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder in the place of another, which is deleted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    start, end = hadoop.Path(source), hadoop.Path(target)
+    system = end.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(end, True)
+    if not system.rename(start, end):
+        raise OSError(f"could not move {source} to {target}")

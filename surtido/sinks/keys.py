@@ -34,6 +34,6 @@ def dense_key(df: DataFrame, name: str, order: Sequence[str | Column] = ()) -> D
     before = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(
         "_parte", F.coalesce(F.sum("_filas").over(before), F.lit(0)).alias("_antes"))
-    # One row per partition, so its size does not grow with the rows.
-    numbered = placed.join(F.broadcast(first), "_parte")
+    # One row per partition; the planner broadcasts it while its measured size allows.
+    numbered = placed.join(first, "_parte")
     return numbered.select((F.col("_antes") + F.col("_fila") + 1).alias(name), *columns)

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from surtido.constants import INSERT_BATCH
 from surtido.operators.allocation import to_forecast_rows
-from surtido.schemas import STORED, to_stored
+from surtido.functions import month_start
+from surtido.schemas import SALES, STORED, to_stored
 from surtido.sinks.keys import dense_key
 
 
 def clear_tables(spark: SparkSession, warehouse: str) -> None:
     """Create the stored tables where they are missing and empty them, facts first."""
-    for table in ("predicciones", "ventas", "productos"):
+    for table in ("predicciones", "productos"):
         empty = spark.createDataFrame([], STORED[table])
         empty.write.mode("overwrite").parquet(f"{warehouse}/{table}")
+    sales = spark.createDataFrame([], SALES)
+    sales.write.mode("overwrite").partitionBy("mes").parquet(f"{warehouse}/ventas")
+    newest = spark.createDataFrame([], "id_producto string, ultima date")
+    newest.write.mode("overwrite").parquet(f"{warehouse}/ultimas_ventas")
 
 
 def missing_products(productos: DataFrame, stored: DataFrame) -> DataFrame:
@@ -39,14 +44,22 @@ def insert_ignore(productos: DataFrame, warehouse: str) -> None:
 
 
 def append_sales(ventas: DataFrame, warehouse: str) -> None:
-    """Append sales to the emptied table, numbered from 1.
+    """Append sales to the emptied table, each with a key of its own, in one pass.
 
-    The rows of a task are sorted by product and day, without a shuffle: equal codes pack
-    well, and a query for one product skips most pages of every file.
+    A key tells rows apart; it is above 0 and need not be dense, so no row is written twice
+    to be counted. The table has a folder per month, and a file holds a range of products:
+    reads of recent days skip old months, reads of one product skip most files. A product
+    that holds much of a month is split over files by its days. The newest sale of every
+    product is stored beside, so that a read knows the oldest month it needs.
     """
-    rows = to_stored(ventas, "ventas").sortWithinPartitions("id_producto", "fecha_venta")
-    numbered = dense_key(rows, "id_venta")
-    numbered.write.mode("append").parquet(f"{warehouse}/ventas")
+    order = ["mes", "id_producto", "fecha_venta"]
+    rows = to_stored(ventas, "ventas").withColumn("mes", month_start(F.col("fecha_venta")))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    keyed = rows.select((F.monotonically_increasing_id() + 1).alias("id_venta"), "*")
+    keyed.write.mode("append").partitionBy("mes").parquet(f"{warehouse}/ventas")
+    stored = ventas.sparkSession.read.schema(SALES).parquet(f"{warehouse}/ventas")
+    newest = stored.groupBy("id_producto").agg(F.max("fecha_venta").alias("ultima"))
+    newest.write.mode("overwrite").parquet(f"{warehouse}/ultimas_ventas")
 
 
 def append_forecasts(allocated: DataFrame, warehouse: str) -> None:

@@ -1,9 +1,11 @@
 """Readers: invoice files, workbooks, stored tables."""
 
 from surtido.sources.files import load_dataset, split_unparseable, typed, validate_columns
-from surtido.sources.tables import read_clean, read_metrics, read_model, read_stored
+from surtido.sources.tables import (
+    read_clean, read_metrics, read_model, read_recent_sales, read_stored,
+)
 
 __all__ = [
-    "load_dataset", "read_clean", "read_metrics", "read_model", "read_stored", "split_unparseable",
-    "typed", "validate_columns",
+    "load_dataset", "read_clean", "read_metrics", "read_model", "read_recent_sales", "read_stored",
+    "split_unparseable", "typed", "validate_columns",
 ]

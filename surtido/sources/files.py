@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surtido.constants import REQUIRED_COLUMNS
+from surtido.constants import DATE_FORMATS, REQUIRED_COLUMNS
 from surtido.functions import nan_to_null, parse_timestamp, with_missing_as_null
 from surtido.sources.workbook import read_workbooks
 
 
-def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+def _read_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
     # FAILFAST: a record broken over lines would otherwise turn into nulls and be
     # filtered out without a word. multi_line reads such files, but no longer splits them.
     raw = (
@@ -24,17 +26,20 @@ def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
-        .csv(path)
+        # Every file's header is compared with the columns; one in another order stops the
+        # job instead of being read by position.
+        .option("enforceSchema", False)
+        .csv(paths)
     )
     return without_missing_tokens(raw)
 
 
-def _read_xlsx(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return without_missing_tokens(read_workbooks(spark, path))
+def _read_xlsx(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    return without_missing_tokens(read_workbooks(spark, paths))
 
 
-def _read_parquet(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return spark.read.parquet(path)
+def _read_parquet(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+    return spark.read.parquet(*paths)
 
 
 READERS = {".csv": _read_csv, ".xlsx": _read_xlsx, ".parquet": _read_parquet}
@@ -48,25 +53,33 @@ def _named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def load_dataset(spark: SparkSession, path: str, *, strict: bool = True,
-                 multi_line: bool = False, file_format: str | None = None) -> DataFrame:
-    """Invoice lines of a file or folder, with checked columns and types.
+def load_dataset(spark: SparkSession, path: str | Sequence[str], *, strict: bool = True,
+                 multi_line: bool = False, file_format: str | None = None,
+                 formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Invoice lines of files or folders, with checked columns and types, as one data set.
 
     The extension chooses the reader; ``file_format`` names it for a folder whose name
-    has none.
+    has none. ``formats`` are the patterns of date texts, tried in their order after ISO.
     """
-    extension = f".{file_format}" if file_format else os.path.splitext(path.rstrip("/"))[1]
-    reader = READERS.get(extension.lower())
-    if reader is None:
-        raise ValueError(f"unsupported format '{extension}': use {', '.join(READERS)}")
-    try:
-        raw = reader(spark, path, multi_line)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(path) from error
-        raise
-    validate_columns(raw)
-    return typed(raw, strict=strict)
+    by_format: dict[str, list[str]] = {}
+    for one in [path] if isinstance(path, str) else path:
+        extension = f".{file_format}" if file_format else os.path.splitext(one.rstrip("/"))[1]
+        if extension.lower() not in READERS:
+            raise ValueError(f"unsupported format '{extension}': use {', '.join(READERS)}")
+        by_format.setdefault(extension.lower(), []).append(one)
+    if not by_format:
+        raise ValueError("no file to load")
+    parts = []
+    for extension, paths in by_format.items():
+        try:
+            raw = READERS[extension](spark, paths, multi_line)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                raise FileNotFoundError(", ".join(paths)) from error
+            raise
+        validate_columns(raw)
+        parts.append(typed(raw, strict=strict, formats=formats))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def validate_columns(df: DataFrame) -> None:
@@ -90,11 +103,12 @@ def _as_number(c: Column, strict: bool) -> Column:
     return nan_to_null(c.cast("double") if strict else c.try_cast("double"))
 
 
-def _as_moment(c: Column, data_type: T.DataType, strict: bool) -> Column:
-    return parse_timestamp(c, strict=strict) if isinstance(data_type, T.StringType) else c
+def _as_moment(c: Column, data_type: T.DataType, strict: bool, formats: Sequence[str]) -> Column:
+    return parse_timestamp(c, formats, strict) if isinstance(data_type, T.StringType) else c
 
 
-def typed(df: DataFrame, strict: bool = True) -> DataFrame:
+def typed(df: DataFrame, strict: bool = True,
+          formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Invoice columns with their types; all other columns stay as they are.
 
     Strict mode raises on a value that does not fit, lenient mode makes it null.
@@ -110,7 +124,7 @@ def typed(df: DataFrame, strict: bool = True) -> DataFrame:
         elif name in ("UnitPrice", "CustomerID"):
             c = _as_number(c, strict)
         elif name == "InvoiceDate":
-            c = _as_moment(c, types[name], strict)
+            c = _as_moment(c, types[name], strict, formats)
         out.append(c.alias(name))
     return df.select(*out)
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from surtido.schemas import STORED
+from surtido.functions import month_start
+from surtido.schemas import SALES, STORED
 
 
 def read_clean(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -13,7 +15,22 @@ def read_clean(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def read_stored(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """A stored table. The schema is given, so no file is opened to plan the scan."""
-    return spark.read.schema(STORED[table]).parquet(f"{warehouse}/{table}")
+    schema = SALES if table == "ventas" else STORED[table]
+    stored = spark.read.schema(schema).parquet(f"{warehouse}/{table}")
+    return stored.select(*STORED[table].names)
+
+
+def read_recent_sales(spark: SparkSession, warehouse: str, days: int = 0,
+                      months: int = 0) -> DataFrame:
+    """The stored sales of the months that the last days or months of any product reach into.
+
+    The oldest newest sale of a product tells where to begin; older months are not opened.
+    """
+    newest = spark.read.schema("id_producto string, ultima date").parquet(
+        f"{warehouse}/ultimas_ventas")
+    first = month_start(F.add_months(F.date_sub(F.min("ultima"), days), -months))
+    sales = spark.read.schema(SALES).parquet(f"{warehouse}/ventas")
+    return sales.where(F.col("mes") >= newest.agg(first).scalar()).select(*STORED["ventas"].names)
 
 
 def read_model(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -164,8 +164,8 @@ def workbook_rows(files: DataFrame, columns: list[str]) -> DataFrame:
     return cells.select(*[F.col("cells").getItem(name).alias(name) for name in columns])
 
 
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """All workbooks under ``path``; a first small job gathers their column names."""
+def read_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All workbooks under the paths; a first small job gathers their column names."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
     files = files.select("path", "content")
     return workbook_rows(files, workbook_columns(files))

@@ -28,23 +28,26 @@ def arrivals(spark: SparkSession, landing: str) -> DataFrame:
     return files.select("path", "modificationTime").filter(extension.isin(list(READERS)))
 
 
-def newest_file(batch: DataFrame) -> str | None:
-    """The file a batch of arrivals ends with: a reload replaces all, so the last one wins."""
-    newest = F.max(F.struct("modificationTime", "path"))
-    return batch.agg(newest.alias("f")).select("f.path").first()["path"]
+def files_in_order(batch: DataFrame) -> list[str]:
+    """The names of a batch's files, oldest first. Spark's file source lists them as well."""
+    return [row["path"] for row in batch.orderBy("modificationTime", "path").collect()]
 
 
 def watch_landing(spark: SparkSession, landing: str, warehouse: str, checkpoint: str,
-                  job: Callable[..., None] = reload, **options) -> StreamingQuery:
+                  job: Callable[..., None] = reload, each_file: bool = False,
+                  **options) -> StreamingQuery:
     """Run ``job`` for the files that have arrived, then stop.
 
-    The stream carries file names; the job reads the file as an ordinary distributed scan.
-    A batch repeated after a failure reloads the same file, with the same result.
+    All files of a batch are one data set, as the parts of an export are, and replace the
+    tables together. With ``each_file`` the job runs once per file, oldest first, as for
+    single uploads; a file that cannot be read stops the batch either way. The stream
+    carries file names; the job reads the files as ordinary distributed scans. A batch
+    repeated after a failure reloads the same files, with the same result.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        path = newest_file(batch)
-        if path is not None:
-            job(batch.sparkSession, path, warehouse, **options)
+        paths = files_in_order(batch)
+        for part in ([p] for p in paths) if each_file else [paths] if paths else []:
+            job(batch.sparkSession, part, warehouse, **options)
 
     return (
         arrivals(spark, landing).writeStream.foreachBatch(on_batch)

@@ -73,7 +73,46 @@ def test_one_product_is_pushed_to_the_scan(spark, tmp_path):
     assert columns == "id_producto:string,fecha_venta:date,unidades_vendidas:int"
 
 
+def test_recent_sales_read_recent_months_only(spark, clean_sales, tmp_path):
+    from surtido.sinks import append_sales
+    from surtido.sources import read_recent_sales
+    folder = str(tmp_path)
+    clear_tables(spark, folder)
+    append_sales(clean_sales(*[(p, f"2010-{m:02d}-1{k}", 1) for p in "ab"
+                               for m in range(1, 13) for k in range(3)]), folder)
+    recent = read_recent_sales(spark, folder, days=30)
+    assert "PartitionFilters: [isnotnull(mes" in plan(recent)
+    months = {r.m for r in recent.selectExpr("month(fecha_venta) as m").collect()}
+    assert months == {11, 12}
+    got = sorted(map(tuple, serving.recent_sales(recent).collect()))
+    assert got == sorted(map(tuple, serving.recent_sales(
+        read_stored(spark, folder, "ventas")).collect()))
+
+
 def test_product_list_is_a_top_k(spark, tmp_path):
     clear_tables(spark, str(tmp_path))
-    text = plan(serving.product_list(read_stored(spark, str(tmp_path), "productos")))
-    assert "TakeOrderedAndProject(limit=500" in text
+    productos = read_stored(spark, str(tmp_path), "productos")
+    assert "TakeOrderedAndProject(limit=500" in plan(serving.product_list(productos, 500))
+
+
+def test_every_product_is_listed(spark):
+    rows = spark.range(1200).selectExpr("cast(id as string) as id_producto", "'N' as nombre")
+    assert serving.product_list(rows).count() == serving.product_labels(rows).count() == 1200
+
+
+def test_valid_products_scan_their_lines_once(spark):
+    from surtido.registry.base import sold
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(valid_products(sold(spark, "/root/testdata/sf0.001")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in text
+
+
+@pytest.mark.parametrize("name", ["backtest_rows", "backtest_metrics", "forecast_next_year",
+                                  "alpha_selected", "ridge_coefficients"])
+def test_no_model_query_joins_without_a_key(spark, name):
+    from surtido.registry.model import QUERIES
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "NestedLoop" not in text and "CartesianProduct" not in text

@@ -18,24 +18,32 @@ def closed_form(x, y, alpha):
     return w, y.mean() - w @ mean
 
 
-def direct_fit(rows):
-    """Scaler, alpha by folds cut from the rows themselves, and the final coefficients."""
+def scaled(rows):
     x, y = rows[list(FEATURES)].to_numpy(float), rows["ventas"].to_numpy(float)
     scale = x.std(axis=0)
     scale[scale < 1e-12] = 1.0
-    z = (x - x.mean(axis=0)) / scale
-    n, alpha = len(y), 10.0
-    if n >= 6:
-        size, scores = n // 5, []
-        for a in ALPHA_GRID:
-            errors = []
-            for start in range(n - 4 * size, n, size):
-                w, b = closed_form(z[:start], y[:start], a)
-                miss = y[start:start + size] - z[start:start + size] @ w - b
-                errors.append(math.sqrt((miss ** 2).mean()))
-            scores.append(np.mean(errors))
-        alpha = ALPHA_GRID[int(np.argmin(scores))]
-    return alpha, *closed_form(z, y, alpha), x.mean(axis=0), scale
+    return (x - x.mean(axis=0)) / scale, y, x.mean(axis=0), scale
+
+
+def fold_scores(z, y):
+    """Mean RMSE over the folds per alpha, from the residuals of the rows."""
+    n, scores = len(y), []
+    size = n // 5
+    for a in ALPHA_GRID:
+        errors = []
+        for start in range(n - 4 * size, n, size):
+            w, b = closed_form(z[:start], y[:start], a)
+            miss = y[start:start + size] - z[start:start + size] @ w - b
+            errors.append(math.sqrt((miss ** 2).mean()))
+        scores.append(np.mean(errors))
+    return scores
+
+
+def direct_fit(rows):
+    """Scaler, alpha by folds cut from the rows themselves, and the final coefficients."""
+    z, y, mean, scale = scaled(rows)
+    alpha = ALPHA_GRID[int(np.argmin(fold_scores(z, y)))] if len(y) >= 6 else 10.0
+    return alpha, *closed_form(z, y, alpha), mean, scale
 
 
 @pytest.fixture(scope="module")
@@ -66,6 +74,27 @@ def test_models_equal_a_direct_search_on_the_rows(many):
         assert got.intercepto == pytest.approx(b, abs=1e-9)
 
 
+def test_near_ties_are_chosen_as_by_row_errors(monthly):
+    """Series that a line fits nearly exactly: the chosen alpha is as good as the best one."""
+    for k, growth in enumerate((1.0001, 1.01, 1.3)):
+        values = [round(1e6 * growth ** t, 3) for t in range(40)]
+        prepared = prepared_series(monthly(values, key=f"tie{k}"))
+        scores = fold_scores(*scaled(prepared.orderBy("fecha").toPandas())[:2])
+        model = fit_models(prepared).first()
+        assert scores[ALPHA_GRID.index(model.alpha)] <= min(scores) * (1 + 1e-6) + 1e-9
+
+
+def test_the_rule_for_short_series_is_an_option(many):
+    usual = {r.series_key: r for r in fit_models(many).collect()}
+    changed = {r.series_key: r for r in fit_models(many, min_rows=10, fallback=3.0).collect()}
+    assert [k for k, r in usual.items() if not r.buscada] == [
+        k for k, r in usual.items() if r.n < 6]
+    assert all((r.n < 10) != r.buscada for r in changed.values())
+    assert all(r.alpha == 3.0 for r in changed.values() if not r.buscada)
+    with pytest.raises(ValueError):
+        fit_models(many, min_rows=4)
+
+
 @pytest.mark.parametrize("months, n", [(4, 1), (8, 5), (9, 6)])
 def test_short_series_take_the_fallback(monthly, months, n):
     rng = np.random.default_rng(months)

@@ -70,6 +70,38 @@ def test_extension_case_and_folders(spark, tmp_path):
     assert load_dataset(spark, str(tmp_path), file_format="csv").count() == 1
 
 
+def test_files_with_other_column_orders_stop_the_load(spark, tmp_path):
+    write(tmp_path, "1,a,b,5,2010-12-01,2,1,UK\n", "a.csv")
+    with open(tmp_path / "b.csv", "w", encoding="utf-8") as file:
+        file.write(HEADER.replace("Quantity", "x").replace("UnitPrice", "Quantity").replace(
+            "x,", "UnitPrice,") + "1,a,b,2.0,2010-12-01,5,1,UK\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        load_dataset(spark, str(tmp_path), file_format="csv").collect()
+    one = load_dataset(spark, str(tmp_path / "b.csv")).first()
+    assert (one.Quantity, one.UnitPrice) == (5, 2.0)
+
+
+@pytest.mark.parametrize("text", ["2010/12/01 08:26", "01-Dec-2010 08:26", "12/1/2010 8:26"])
+def test_more_date_texts(spark, tmp_path, text):
+    path = write(tmp_path, f"1,a,b,1,{text},1,1,UK\n")
+    assert load_dataset(spark, path).first().InvoiceDate == dt.datetime(2010, 12, 1, 8, 26)
+
+
+def test_own_date_formats(spark, tmp_path):
+    path = write(tmp_path, "1,a,b,1,01.12.2010,1,1,UK\n")
+    rows = load_dataset(spark, path, formats=["dd.MM.yyyy"])
+    assert rows.first().InvoiceDate == dt.datetime(2010, 12, 1)
+
+
+def test_several_files_are_one_data_set(spark, tmp_path):
+    a = write(tmp_path, "1,a,b,1,2010-12-01,1,1,UK\n", "a.csv")
+    b = write(tmp_path, "2,a,b,1,2010-12-01,1,1,UK\n", "b.csv")
+    spark.read.option("header", True).csv(a).write.parquet(str(tmp_path / "c.parquet"))
+    assert load_dataset(spark, [a, b]).count() == 2
+    with pytest.raises(ValueError, match="no file"):
+        load_dataset(spark, [])
+
+
 def frame(**changes):
     row = dict(InvoiceNo="1", StockCode="a", Description=" b & <c> ", Quantity=2,
                InvoiceDate=pd.Timestamp("2010-12-01 08:26:00"), UnitPrice=2.55, CustomerID=7.0)

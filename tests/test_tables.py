@@ -47,11 +47,11 @@ def test_constraints_report_every_broken_rule(spark):
         ("productos", "precio_unitario not null"): 1,
         ("productos", "precio_unitario decimal(10,2)"): 1,
         ("productos", "id_producto varchar(20)"): 1, ("productos", "nombre varchar(255)"): 1,
-        ("productos", "id_producto primary key"): 2,
+        ("productos", "id_producto primary key"): 1,
         ("ventas", "fecha_venta not null"): 1, ("ventas", "unidades_vendidas > 0"): 2,
         ("ventas", "total_venta not null"): 1, ("ventas", "total_venta decimal(10,2)"): 1,
         ("ventas", "id_venta_original varchar(20)"): 1,
-        ("ventas", "id_producto references productos"): 1, ("ventas", "id_venta primary key"): 2,
+        ("ventas", "id_producto references productos"): 1, ("ventas", "id_venta primary key"): 1,
         ("predicciones", "fecha_prediccion not null"): 1,
         ("predicciones", "confianza_modelo decimal(5,4)"): 1,
         ("predicciones", "id_producto references productos"): 1,
@@ -105,7 +105,8 @@ def test_appends_number_their_rows_and_accept_none(spark, clean_sales, tmp_path)
     append_sales(clean_sales(("a", "2011-01-01", 2), ("a", "2011-01-01", 2)), folder)
     ventas = read_stored(spark, folder, "ventas")
     assert [f.dataType for f in ventas.schema] == [f.dataType for f in VENTAS]
-    assert sorted(r.id_venta for r in ventas.collect()) == [1, 2]
+    keys = [r.id_venta for r in ventas.collect()]
+    assert len(set(keys)) == 2 and min(keys) > 0
     rows = spark.createDataFrame(
         [("a", DAY, 2.5, 3.5, None), ("a", DAY, 1.0, 1.0, 0.87654)],
         "id_producto string, fecha_prediccion date, unidades_predichas double, "
@@ -180,9 +181,12 @@ def test_reload_end_to_end(spark, tmp_path):
     assert read_stored(spark, again, "predicciones").first().confianza_modelo == Decimal("1.0000")
 
 
-def test_clean_set_survives_a_failed_training(spark, tmp_path, monkeypatch):
+def test_a_failed_reload_leaves_the_stored_tables(spark, tmp_path, monkeypatch):
     source, folder = str(tmp_path / "lines.csv"), str(tmp_path / "out")
-    invoice_file(source, 10, months=2)
+    invoice_file(source, 10)
+    job.reload(spark, source, folder)
+    before = units(spark, folder)
+    invoice_file(source, 30, months=2)
 
     def fail(*args, **kwargs):
         raise RuntimeError("training failed")
@@ -190,10 +194,33 @@ def test_clean_set_survives_a_failed_training(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(job, "Training", fail)
     with pytest.raises(RuntimeError):
         job.reload(spark, source, folder)
-    assert read_clean(spark, folder).count() == 2 * 26 * 2
+    assert units(spark, folder) == before
+    assert read_clean(spark, folder).count() == 2 * 26 * 24
+    assert not [n for n in os.listdir(folder) if n.startswith("_nuevo")]
+
+
+def test_units_beyond_four_bytes(spark, tmp_path):
+    folder = str(tmp_path)
+    clear_tables(spark, folder)
+    rows = spark.createDataFrame(
+        [(None, DAY, 3e9, 3e9 + 0.5, 1.0)],
+        "id_producto string, fecha_prediccion date, unidades_predichas double, "
+        "unidades_vendidas double, confianza_modelo double")
+    append_forecasts(rows, folder)
+    stored = read_stored(spark, folder, "predicciones").first()
+    assert (stored.unidades_predichas, stored.unidades_vendidas) == (3_000_000_000, 3_000_000_000)
+
 
+def test_repeated_keys_by_ranges(spark):
+    keys = [*range(-5, 70_000, 7), 2, 2, 9, None, None, 2**40]
+    df = spark.createDataFrame([(v,) for v in keys], "id bigint")
+    known = [v for v in keys if v is not None]
+    assert k.repeated_keys(df, "id").first()[0] == len(known) - len(set(known))
+    plan = k.repeated_keys(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" not in plan
 
-def test_newest_dropped_file_wins(spark, tmp_path):
+
+def test_all_dropped_files_are_one_data_set(spark, tmp_path):
     landing, folder, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
     os.mkdir(landing)
     invoice_file(f"{landing}/z_old.csv", 10, months=2)
@@ -203,18 +230,30 @@ def test_newest_dropped_file_wins(spark, tmp_path):
     now = time.time()
     os.utime(f"{landing}/z_old.csv", (now - 60, now - 60))
 
-    def tables_only(session, path, warehouse):
-        raw = job.load_dataset(session, path)
+    runs = []
+
+    def tables_only(session, paths, warehouse):
+        runs.append([os.path.basename(p) for p in paths])
+        raw = job.load_dataset(session, paths)
         job.store_tables(job.store_clean(raw, warehouse), warehouse)
 
     watch_landing(spark, landing, folder, state, job=tables_only).awaitTermination()
     batch = str(tmp_path / "batch")
-    tables_only(spark, f"{landing}/a_new.csv", batch)
+    assert runs == [["z_old.csv", "a_new.csv"]]
+    tables_only(spark, [f"{landing}/a_new.csv", f"{landing}/z_old.csv"], batch)
     assert units(spark, folder) == units(spark, batch) > 0
 
+    single, state_2 = str(tmp_path / "single"), str(tmp_path / "state_2")
+    runs.clear()
+    watch_landing(spark, landing, single, state_2, job=tables_only,
+                  each_file=True).awaitTermination()
+    assert runs == [["z_old.csv"], ["a_new.csv"]]
+    tables_only(spark, [f"{landing}/a_new.csv"], batch)
+    assert units(spark, single) == units(spark, batch)
+
     invoice_file(f"{landing}/later.csv", 30, months=2)
     watch_landing(spark, landing, folder, state, job=tables_only).awaitTermination()
-    tables_only(spark, f"{landing}/later.csv", batch)
+    tables_only(spark, [f"{landing}/later.csv"], batch)
     assert units(spark, folder) == units(spark, batch)
 
 
