@@ -151,7 +151,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dropped = repeated_lines(line_keys(rows, least_chars)).distinct().groupBy(
         "doc_id", "mark").agg(F.collect_list("line").alias("dropped"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return dropped.mapInArrow(_bitmaps, f"doc_id {kind}, mark bigint, keep binary")
+    # A table of its own, so that a later join can split documents of many rows.
+    return stored(dropped.mapInArrow(_bitmaps, f"doc_id {kind}, mark bigint, keep binary"))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,11 +127,18 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 
 
-def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
-    """doc_id, mark, fp and ``root``, one fingerprint of the component."""
-    joined = components(links(prints, max_bits))
-    return prints.join(joined, F.col("fp") == F.col("node"), "left").select(
-        "doc_id", "mark", "fp", F.coalesce("component", "fp").alias("root"))
+def _by_component(prints: DataFrame, first: Column, max_bits: int) -> DataFrame:
+    """(fp, root, first): every distinct fingerprint, its component, and the component's least.
+
+    ``first`` is aggregated per fingerprint before anything is joined, so copies, however
+    many, are one row, and a component has a row per distinct fingerprint.
+    """
+    nodes = prints.groupBy("fp").agg(F.min(first).alias("own"))
+    joined = components(links(nodes, max_bits))
+    nodes = nodes.join(joined, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("component", "fp").alias("root"), "own")
+    least = nodes.groupBy("root").agg(F.min("own").alias("first"))
+    return stored(nodes.join(least, "root").select("fp", "root", "first"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -144,10 +151,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated rows come back as often as they are given; a null doc_id joins its component
     but does not name it; an empty table gives no rows; other columns are left out.
     """
-    rows = _rooted(stored(fingerprints(docs, id_col, text_col, width)), max_bits)
-    names = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(names, "root").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints = stored(fingerprints(docs, id_col, text_col, width))
+    names = _by_component(prints, F.col("doc_id"), max_bits)
+    return prints.join(names, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,10 +165,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without a doc_id stay only where no row of their component has one; of rows that
     share the doc_id, that with the least text hash stays, and of repeated rows one.
     """
-    rows = _rooted(stored(fingerprints(docs, id_col, text_col, width)), max_bits)
+    prints = stored(fingerprints(docs, id_col, text_col, width))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
-    kept = rows.groupBy("root").agg(F.min(key).alias("k")).select(
-        F.col("k.doc_id").alias("kept_id"), F.col("k.mark").alias("kept_mark"))
+    kept = stored(_by_component(prints, key, max_bits).select("first").distinct().select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.mark").alias("kept_mark")))
     given = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     given = given.withColumns({"id": F.col("row")[id_col],
                                "mark": F.xxhash64(F.col("row")[text_col])})

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surtido.llm.common import stored
+
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 # Payloads below this many bytes are always stored.
@@ -70,8 +72,9 @@ def write(rows: DataFrame, folder: str, archive: str,
     are responses. Rows without a page_id are responses only if no row of the payload has
     one. Revisit records carry fresh headers and no payload.
     """
-    # A payload is as wide as its page, so the rows go to their originals in one shuffle.
-    joined = rows.join(originals(rows, least_bytes), "digest", "left")
+    # A payload is as wide as its page, so the rows go to their originals in one shuffle. The
+    # originals are written first: a join of two plain tables splits a payload of many pages.
+    joined = rows.join(stored(originals(rows, least_bytes)), "digest", "left")
     revisit = F.col("first").isNotNull() & (
         F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
     joined = joined.withColumn("revisit", revisit).withColumn(
@@ -137,13 +140,14 @@ def resolve(records: DataFrame) -> DataFrame:
     ``page_id, payload_bytes, payload_digest, record_type, refers_to``; size and digest are
     taken from the stored payload. Payloads stay where they are, headers are joined.
     """
-    heads = records.select("page_id", "record_id", "record_type", "refers", "digest",
-                           F.octet_length("payload").cast("long").alias("bytes"),
-                           F.sha2("payload", 256).alias("own"))
+    heads = stored(records.select(
+        "page_id", "record_id", "record_type", "refers", "digest",
+        F.octet_length("payload").cast("long").alias("bytes"),
+        F.sha2("payload", 256).alias("own")))
     target = heads.where("record_type = 'response'").groupBy("record_id").agg(
         F.min("page_id").alias("to_page"), F.first("bytes").alias("to_bytes"),
         F.first("own").alias("to_digest"))
-    joined = heads.join(target.withColumnRenamed("record_id", "refers"), "refers", "left")
+    joined = heads.join(stored(target.withColumnRenamed("record_id", "refers")), "refers", "left")
     return joined.select(
         "page_id", F.coalesce("bytes", "to_bytes").alias("payload_bytes"),
         F.coalesce("own", "to_digest").alias("payload_digest"), "record_type",
