@@ -9,7 +9,7 @@ that differ most between the labels; texts are read whole.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -216,6 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
         lambda batches: _document_counts(batches, count),
         "feature string, " + ", ".join(f"{c} bigint" for c in names)).groupBy("feature").agg(
         *[F.sum(c).alias(c) for c in names])
+    counts = stored(counts.where(sum((F.col(c) for c in names), F.lit(0)) >= LEAST_DOCUMENTS))
     totals = rows.agg(*[F.count_if(F.col(c) == v) for c in categories for v in (0, 1)]).first()
     features: set[str] = set()
     for k in range(count):
