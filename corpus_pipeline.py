@@ -53,10 +53,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids, decoded_sha256``: token ids, and their bytes' hash."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
-        "row.doc_id", "row.lang", "row.source", "ids")
-    return bpe.decode(coded, ranks).select(
-        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
+        "row.doc_id", "row.lang", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -11,25 +11,29 @@ from __future__ import annotations
 
 import base64
 from collections import Counter
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
-from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surtido.llm.common import by_value, let, pieces
+from surtido.llm.common import by_value, let, pieces, stored
 
 by_value(__name__)
 
 # Bounds of the table of frequent words: rows, and bytes of a word.
-FREQUENT_WORDS = 1 << 18
+FREQUENT_WORDS = 1 << 17
 WORD_BYTES = 64
-# Words a worker remembers beside that table.
-REMEMBERED = 1 << 18
+# Stretches between spaces that a worker remembers beside that table.
+REMEMBERED = 1 << 16
+# Texts decoded, and bytes encoded, at a time.
+ROWS_DECODED = 256
+ENCODED_BYTES = 1 << 20
 # Words folded in one row.
 BLOCK_WORDS = 2048
 
@@ -121,9 +125,10 @@ def encode_words(words: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
             F.sequence(F.lit(1), F.length(s)),
             lambda i: single[F.ascii(F.substring(s, i, F.lit(1)))]))
 
-    blocks = words.where(F.length("word") > 0).distinct().groupBy(
-        F.pmod(F.xxhash64("word"), F.lit(FREQUENT_WORDS // BLOCK_WORDS)).alias("block")).agg(
-        F.collect_list("word").alias("words"))
+    count = FREQUENT_WORDS // BLOCK_WORDS
+    blocks = words.where(F.length("word") > 0).distinct().withColumn(
+        "block", F.pmod(F.xxhash64("word"), F.lit(count))).repartition(count, "block").groupBy(
+        "block").agg(F.collect_list("word").alias("words"))
     blocks = blocks.withColumn("ranks", rank_table(spark, ranks).scalar())
     done = blocks.select(F.explode(F.transform("words", lambda w: F.struct(
         w.alias("word"), let(tokens(w), lambda t: fold(t, F.col("ranks"))).alias("ids")))).alias("w"))
@@ -132,15 +137,39 @@ def encode_words(words: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
 
 # --- Texts --------------------------------------------------------------------
 
+class _Irregular(Exception):
+    """A space that does not begin a match."""
+
+
+def _stretch(part: str) -> str:
+    """A stretch of text from a space on.
+
+    A space before a sign that is not white space always begins a match of the pattern, so
+    a text may be cut there, and equal stretches are split alike.
+    """
+    if not part or part[0].isspace():
+        raise _Irregular
+    return " " + part
+
+
 def count_words(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
     """(word, n): every match of the pattern in all texts and how often it occurs."""
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = split_pattern(pattern).findall
         for batch in batches:
+            stretches: Counter[str] = Counter()
             counts: Counter[str] = Counter()
             for piece in pieces(batch, "text"):
                 for text in piece.column("text").to_pylist():
-                    counts.update(find(text or ""))
+                    first, *rest = (text or "").split(" ")
+                    if "" in rest or any(map(str.isspace, map(itemgetter(0), rest))):
+                        counts.update(find(text))
+                    else:
+                        counts.update(find(first))
+                        stretches.update(rest)
+            for part, n in stretches.items():
+                for word in find(" " + part):
+                    counts[word] += n
             yield pa.RecordBatch.from_arrays(
                 [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
                 ["word", "n"])
@@ -150,6 +179,24 @@ def count_words(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFr
     return words.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int = FREQUENT_WORDS) -> DataFrame:
+    """The words above a count that at most ``most`` words reach; short ones only.
+
+    A histogram of the counts, sixteen steps per doubling, tells the count, so that nothing
+    is sorted as a whole.
+    """
+    counts = stored(counts.where(F.octet_length("word") <= WORD_BYTES))
+    step = F.floor(16 * F.log2("n")).cast("int")
+    total, least = 0, None
+    for row in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(
+            F.desc("step")).collect():
+        total += row["words"]
+        if total > most:
+            break
+        least = row["step"]
+    return counts.where(step >= least if least is not None else F.lit(False)).select("word")
+
+
 def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     """Token ids of a rare word, by the same merges as :func:`fold`."""
     parts = [word[i:i + 1] for i in range(len(word))]
@@ -168,73 +215,104 @@ def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
             gaps[i] = get(parts[i] + parts[i + 1])
 
 
-class _Words(dict):
-    """Ids of words; one that is missing is merged, and remembered while there is room."""
+def _as_bytes(ids: Iterable[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+class _Encoder(dict):
+    """Ids, as bytes, of stretches of text; a new one is split and merged, then remembered."""
 
-    def __init__(self, known, ranks):
-        super().__init__(known)
-        self.ranks, self.most = ranks, len(known) + REMEMBERED
+    def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pattern: str):
+        super().__init__()
+        self.known, self.ranks, self.find = known, ranks, split_pattern(pattern).findall
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(merge_bytes(word.encode(), self.ranks))
-        if len(self) < self.most:
-            self[word] = ids
+    def words(self, text: str) -> bytes:
+        return b"".join([self.known.get(w) or _as_bytes(merge_bytes(w.encode(), self.ranks))
+                         for w in self.find(text)])
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.words(_stretch(part))
+        if len(self) < REMEMBERED:
+            self[part] = ids
         return ids
 
+    def text(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        try:
+            return b"".join([self.words(first), *map(self.__getitem__, rest)])
+        except _Irregular:
+            return self.words(text)
+
 
 def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
            text_col: str = "text", frequent: int = FREQUENT_WORDS) -> DataFrame:
-    """``ids`` (array of int), ``row`` (the given row as a struct) for every row.
+    """``ids`` (array of int), ``decoded``, ``row`` (the given row as a struct) for every row.
 
-    Each match of the pattern is encoded by itself, without special tokens. A null or empty
+    ``decoded`` is the bytes of the ids, as :func:`decode` gives them. Each match of the pattern is encoded by itself, without special tokens. A null or empty
     text has no ids; repeated rows are encoded alike; an empty table gives no rows; columns
     may have any names.
     """
     spark = docs.sparkSession
-    common = count_words(docs, pattern, text_col).where(
-        (F.octet_length("word") <= WORD_BYTES)).orderBy(
-        F.desc("n"), "word").limit(frequent).select("word")
+    common = frequent_words(count_words(docs, pattern, text_col), frequent)
     found = encode_words(common, ranks).toArrow()
-    known = {w: tuple(ids) for w, ids in zip(found.column("word").to_pylist(),
-                                             found.column("ids").to_pylist())}
-    shared = spark.sparkContext.broadcast((known, dict(ranks)))
+    known = {w: _as_bytes(ids) for w, ids in zip(found.column("word").to_pylist(),
+                                                 found.column("ids").to_pylist())}
+    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks)))
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = split_pattern(pattern).findall
-        words = _Words(*shared.value)
-        look = words.__getitem__
+        known, ranks, table = shared.value
+        encoder = _Encoder(known, ranks, pattern)
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                lists = [np.fromiter(chain.from_iterable(map(look, find(text or ""))), np.int32)
-                         for text in piece.column("text").to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)])
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate(lists)))
-                yield pa.RecordBatch.from_arrays([ids, piece.column("row")], ["ids", "row"])
+            for piece in pieces(batch, "text", ENCODED_BYTES):
+                coded = [encoder.text(t or "") for t in piece.column("text").to_pylist()]
+                ends = np.cumsum([0, *map(len, coded)]) // 4
+                ids = np.frombuffer(b"".join(coded), np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                     _decoded(ids, ends, table), piece.column("row")], ["ids", "decoded", "row"])
 
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     rows = rows.select(F.col("row")[text_col].cast("string").alias("text"),
                        F.col("row").dropFields(text_col).alias("row")
                        if len(docs.columns) > 1 else F.lit(None).cast("string").alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(worker, f"ids array<int>, row {kind}")
+    return rows.mapInArrow(worker, f"ids array<int>, decoded binary, row {kind}")
+
+
+def _token_table(ranks: Mapping[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, sizes, bytes) of all tokens, by id."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    return np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+
+def _decoded(ids: np.ndarray, cuts: np.ndarray, table: tuple) -> pa.Array:
+    """The joined bytes of the ids between every two cuts."""
+    starts, sizes, data = table
+    length = sizes[ids]
+    ends = np.append(0, np.cumsum(length))
+    place = np.repeat(starts[ids] - ends[:-1], length) + np.arange(ends[-1])
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [
+        None, pa.py_buffer(ends[cuts].astype(np.int64)), pa.py_buffer(data[place])]).cast(pa.binary())
 
 
 def decode(rows: DataFrame, ranks: Mapping[bytes, int], ids_col: str = "ids",
            out: str = "decoded") -> DataFrame:
     """The rows with the bytes of their ids, joined, in column ``out``; null ids give none."""
-    shared = rows.sparkSession.sparkContext.broadcast({r: t for t, r in ranks.items()})
+    shared = rows.sparkSession.sparkContext.broadcast(_token_table(ranks))
     names = [c for c in rows.columns if c != out]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
-        for batch in batches:
-            ids = batch.column(names.index(ids_col))
-            data = [b"".join(map(token, x)) for x in (
-                (a.values.to_numpy() if a.is_valid else ()) for a in ids)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(names))] + [pa.array(data, pa.binary())],
-                [*names, out])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_DECODED):
+                batch = whole.slice(at, ROWS_DECODED)
+                lists = batch.column(names.index(ids_col))
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                decoded = _decoded(lists.flatten().to_numpy(),
+                                   np.append(0, np.cumsum(counts)), shared.value)
+                yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*names, out])
 
     return rows.select(*[f"`{c}`" for c in names]).mapInArrow(worker, f"{schema}, `{out}` binary")

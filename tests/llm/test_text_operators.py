@@ -154,9 +154,10 @@ def test_fold_equals_tiktoken(spark, encoding, ranks, documents):
 
 def test_encode_and_decode(spark, edges, empty, encoding, ranks, documents):
     coded = bpe.encode(edges, ranks, public_tokenizers.PATTERN, frequent=20)
-    back = bpe.decode(coded, ranks).select("row.doc_id", "ids", "decoded")
+    back = bpe.decode(coded.drop("decoded"), ranks).select("row.doc_id", "ids", "decoded")
     assert sorted(((r[0], list(r[1]), bytes(r[2])) for r in back.collect()), key=str) == sorted(
         ((i, encoding.encode_ordinary(t or ""), (t or "").encode()) for i, t in EDGES), key=str)
+    assert sorted_rows(coded.select("row.doc_id", "ids", "decoded"), "*") == sorted_rows(back, "*")
     assert bpe.encode(empty, ranks, public_tokenizers.PATTERN).count() == 0
     want = []
     for i, text, _ in documents:
@@ -264,3 +265,9 @@ def test_weights_and_confined_movement(spark):
 def test_sharding_plan_is_native(spark):
     plan = queries.op9_sharding(spark, FOLDER)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("name", ["op4_warc_revisits", "op5_quality_rules", "op8_line_dedup"])
+def test_query_equals_its_twin(spark, name):
+    from tests.compare import compare, connect
+    assert compare(spark, connect(FOLDER), FOLDER, name)[0].startswith("ok")
