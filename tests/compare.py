@@ -27,7 +27,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _text(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
         return "null"
     if isinstance(value, pd.Timestamp):
         return value.strftime("%Y-%m-%d %H:%M:%S").removesuffix(" 00:00:00")
