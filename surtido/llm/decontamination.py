@@ -1,15 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
-
-The n-grams of the test items are counted over all documents. Of every few consecutive
-n-grams of an item the one that the fewest documents hold is a seed, so each stretch of an
-item has one, also where the item itself was copied often. A document that holds a seed is
-aligned with the item around it (Smith-Waterman over words), which scores edited copies.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
+
+Every copy that the alignment accepts keeps a number of the item's n-grams, which follows
+from the item's length and the least score: n words in a row between edits. All n-grams of
+an item are seeds, and a document that holds as many of them as a copy keeps is aligned with
+the item around them (Smith-Waterman over words). So no copy that would be accepted is left
+out, wherever its edits lie. Short items take pairs of words, as their copies need no three
+words in a row.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +25,6 @@ from surtido.llm.common import by_value, pieces
 by_value(__name__)
 
 GRAM_WORDS = 3
-# Of so many consecutive n-grams of an item, one is a seed.
-STRIDE = 4
 # Least score of a copy, as a share of the item's words.
 LEAST_SCORE = 0.6
 MATCH, MISMATCH, GAP = 1.0, -1.0, -1.0
@@ -38,21 +38,32 @@ _MATCHES = "array<struct<item_id:string,score:double,start_word:int,stop_word:in
 
 @dataclass(frozen=True)
 class _Items:
-    """A block of items as word numbers, from 1, and their n-grams."""
+    """A block of items as word numbers, from 1."""
 
     ids: tuple
     words: dict[str, int]
     texts: tuple[np.ndarray, ...]
+
+
+@dataclass(frozen=True)
+class _Seeds:
+    """The n-grams of a block of items, and which items hold each of them, and where."""
+
+    sizes: tuple[int, ...]
     grams: np.ndarray
+    first: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
+    least_hits: np.ndarray
 
 
-def _codes(numbers: np.ndarray) -> np.ndarray:
-    """The n-grams as numbers; those with an unknown word (0) as 0."""
-    n = len(numbers) - GRAM_WORDS + 1
+def _codes(numbers: np.ndarray, size: int) -> np.ndarray:
+    """The n-grams as numbers, which differ between sizes; those with an unknown word (0) as 0."""
+    n = len(numbers) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64)
     code, known = np.zeros(n, np.int64), np.ones(n, bool)
-    for k in range(GRAM_WORDS):
+    for k in range(size):
         part = numbers[k:k + n]
         code = code << _BITS | part
         known &= part > 0
@@ -64,13 +75,12 @@ def _read_items(rows: list) -> _Items:
     ids, texts = [], []
     for row in rows:
         found = _WORD.findall((row["text"] or "").lower())
-        if found:
+        if len(found) >= GRAM_WORDS:
             ids.append(row["item_id"])
             texts.append(np.array([words.setdefault(w, len(words) + 1) for w in found]))
-    grams = np.unique(np.concatenate([_codes(t) for t in texts])) if texts else np.zeros(0, int)
     if len(words) >= 1 << _BITS:
         raise ValueError("a block of items has too many words; lower items_at_once")
-    return _Items(tuple(ids), words, tuple(texts), grams)
+    return _Items(tuple(ids), words, tuple(texts))
 
 
 def _numbers(text: str | None, words: dict[str, int]) -> np.ndarray:
@@ -89,34 +99,23 @@ def _places(codes: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at[hit], found[hit]
 
 
-def gram_counts(docs: DataFrame, words: dict[str, int], grams: np.ndarray) -> np.ndarray:
-    """In how many documents each of the grams occurs, over all rows of ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, grams))
-
-    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, grams = shared.value
-        counts = np.zeros(len(grams), np.int64)
-        for batch in batches:
-            for piece in pieces(batch, "text"):
-                for text in piece.column("text").to_pylist():
-                    counts[np.unique(_places(_codes(_numbers(text, words)), grams)[1])] += 1
-        there = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(there, pa.int64()), pa.array(counts[there])], ["gram", "n"])
+def _least_points(length: int, least: float) -> int:
+    """The least score of a copy of an item of so many words."""
+    return max(1, math.ceil(least * length))
 
-    counts = np.zeros(len(grams), np.int64)
-    found = docs.select("text").mapInArrow(worker, "gram bigint, n bigint")
-    for row in found.groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        counts[row["gram"]] = row["n"]
-    return counts
 
+def kept_grams(length: int, least: float) -> tuple[int, int]:
+    """(n, how many of an item's n-grams every copy keeps at least), for the largest such n.
 
-def choose_seeds(text: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Positions of the item's seeds: the rarest n-gram of every ``STRIDE`` in a row."""
-    codes = _codes(text)
-    rarity = counts[np.searchsorted(grams, codes)] if len(codes) else codes
-    return np.unique([s + int(np.argmin(rarity[s:s + STRIDE]))
-                      for s in range(max(1, len(codes) - STRIDE + 1)) if len(codes)]).astype(int)
+    A score of p from m matches leaves m - p edits at most, so m - p + 1 runs of matches; a
+    run of r words keeps r - n + 1 n-grams. That is linear in m, between p and the length.
+    """
+    points = _least_points(length, least)
+    for n in range(GRAM_WORDS, 1, -1):
+        hits = min(m - (n - 1) * (m - points + 1) for m in (points, length))
+        if hits > 0:
+            return n, hits
+    return 1, points
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
@@ -148,70 +147,111 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def _windows(starts: np.ndarray, length: int, n: int) -> Iterator[tuple[int, int]]:
-    """Stretches of the text around the seeds, where the whole item may lie."""
-    pad = length // 2 + 1
+def _windows(starts: np.ndarray, length: int, pad: int,
+             n: int) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches of the text around the seeds, where the whole item may lie.
+
+    ``starts`` are sorted; the seeds that a copy in the stretch may keep come with it.
+    """
+    def stretch(i: int, j: int) -> tuple[int, int, int, int]:
+        near = np.searchsorted(starts, (starts[i] - 2 * pad, starts[j] + 2 * pad + 1))
+        return low, high, *near.tolist()
+
     low = high = None
-    for s in np.sort(starts):
-        a, b = max(0, int(s) - pad), min(n, int(s) + length + pad)
+    first = 0
+    for k, s in enumerate(starts.tolist()):
+        a, b = max(0, s - pad), min(n, s + length + pad)
         if high is not None and a <= high and b - low <= 8 * length:
             high = max(high, b)
             continue
         if high is not None:
-            yield low, high
-        low, high = a, b
+            yield stretch(first, k - 1)
+        low, high, first = a, b, k
     if high is not None:
-        yield low, high
+        yield stretch(first, len(starts) - 1)
+
 
+def _common(item: np.ndarray, text: np.ndarray) -> int:
+    """How many words of the item the text has, each as often as it has it: bounds the matches."""
+    words, wanted = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(words, text), len(words) - 1)
+    have = np.bincount(at[words[at] == text], minlength=len(words))
+    return int(np.minimum(wanted, have).sum())
 
-def _matches(numbers: np.ndarray, items: list, seeds: np.ndarray, first: np.ndarray,
-             holders: np.ndarray, least: float) -> Iterator[tuple]:
+
+def _hits(numbers: np.ndarray, seeds: _Seeds) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(item, starts, offsets) of the items of which a text holds enough n-grams.
+
+    A start is where the item would begin in the text; starts are sorted.
+    """
+    found = [_places(_codes(numbers, n), seeds.grams) for n in seeds.sizes]
+    at, gram = (np.concatenate([f[k] for f in found]) for k in range(2))
+    count = seeds.first[gram + 1] - seeds.first[gram]
+    holder = np.repeat(seeds.first[gram] - (np.cumsum(count) - count), count) + np.arange(
+        count.sum())
+    item, offset = seeds.items[holder], seeds.offsets[holder]
+    start = np.repeat(at, count) - offset
+    order = np.lexsort((start, item))
+    item, start, offset = item[order], start[order], offset[order]
+    names, first = np.unique(item, return_index=True)
+    stops = np.append(first[1:], len(item))
+    enough = stops - first >= seeds.least_hits[names]
+    for i, a, b in zip(names[enough].tolist(), first[enough].tolist(), stops[enough].tolist()):
+        yield i, start[a:b], offset[a:b]
+
+
+def _matches(numbers: np.ndarray, items: list, seeds: _Seeds,
+             least: float) -> Iterator[tuple]:
     """(item, score, start, stop) of the items a text holds; each item once, its best place."""
-    at, found = _places(_codes(numbers), seeds)
-    starts = defaultdict(list)
-    for position, gram in zip(at.tolist(), found.tolist()):
-        for item, offset in holders[first[gram]:first[gram + 1]].tolist():
-            starts[item].append(position - offset)
-    for item, places in starts.items():
+    for item, starts, offsets in _hits(numbers, seeds):
         text, best = items[item], (0.0, 0, 0)
-        for low, high in _windows(np.unique(places), len(text), len(numbers)):
+        points = _least_points(len(text), least)
+        pad = max(len(text) // 2, len(text) - points) + 1
+        for low, high, i, j in _windows(starts, len(text), pad, len(numbers)):
+            if len(np.unique(offsets[i:j])) < seeds.least_hits[item]:
+                continue
             part = numbers[low:high]
             # Every match takes a word that both hold, so this bounds the score.
-            if np.isin(part, text).sum() * MATCH < max(best[0], least * len(text)):
+            if _common(text, part) * MATCH < max(best[0], points):
                 continue
             score, a, b = align(text, part)
             if score > best[0]:
                 best = (score, low + a, low + b)
-        if best[0] >= least * len(text) and best[0] > 0:
+        if best[0] >= points:
             yield item, best[0] / len(text), best[1], best[2]
 
 
-def _seeds(data: _Items, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(seeds, first holder of each seed, holders): which items have a seed, and where."""
-    places = sorted((int(_codes(text)[p]), i, int(p)) for i, text in enumerate(data.texts)
-                    for p in choose_seeds(text, data.grams, counts))
-    codes = np.array([c for c, _, _ in places], np.int64)
-    seeds = np.unique(codes)
-    first = np.append(np.searchsorted(codes, seeds), len(codes))
-    return seeds, first, np.array([(i, p) for _, i, p in places], np.int64).reshape(-1, 2)
+def _seeds(data: _Items, least: float) -> _Seeds:
+    """All n-grams of the items, of the size that every copy keeps some of."""
+    kept = [kept_grams(len(text), least) for text in data.texts]
+    codes = [_codes(text, n) for text, (n, _) in zip(data.texts, kept)]
+    sizes = [len(c) for c in codes]
+    items = np.repeat(np.arange(len(codes)), sizes)
+    offsets = np.concatenate([np.arange(n) for n in sizes]) if sizes else items
+    codes = np.concatenate(codes) if sizes else np.zeros(0, np.int64)
+    order = np.argsort(codes, kind="stable")
+    grams, first = np.unique(codes[order], return_index=True)
+    return _Seeds(tuple(sorted({n for n, _ in kept})), grams, np.append(first, len(codes)),
+                  items[order], offsets[order], np.array([h for _, h in kept], np.int64))
 
 
 def _search(rows: DataFrame, block: list, least_score: float) -> DataFrame:
     """(row, text, matches): the matches with the items of a block, added to those before."""
     data = _read_items(block)
-    seeds, first, holders = _seeds(data, gram_counts(rows, data.words, data.grams))
+    if not data.texts:
+        return rows
     shared = rows.sparkSession.sparkContext.broadcast(
-        (data.words, list(data.texts), seeds, first, holders, data.ids))
+        (data.words, list(data.texts), _seeds(data, least_score), data.ids))
     kind = pa.list_(pa.struct([("item_id", pa.string()), ("score", pa.float64()),
                                ("start_word", pa.int32()), ("stop_word", pa.int32())]))
     names = [f.name for f in kind.value_type]
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, texts, seeds, first, holders, ids = shared.value
+        words, texts, seeds, ids = shared.value
         for batch in batches:
             for piece in pieces(batch, "text"):
                 found = [[dict(zip(names, (ids[i], *m))) for i, *m in _matches(
-                    _numbers(text, words), texts, seeds, first, holders, least_score)]
+                    _numbers(text, words), texts, seeds, least_score)]
                          for text in piece.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, pa.array(found, kind)], [*piece.schema.names, "found"])

@@ -142,6 +142,54 @@ def plain_contaminated(docs, items):
     return found
 
 
+def edited_copies(kinds, lengths):
+    """(docs, items): per length and kind an item, and one document with a copy edited evenly."""
+    items, docs = [], []
+    for length in lengths:
+        for kind, every in kinds:
+            number = len(items)
+            own = [f"w{number}x{k}" for k in range(length)]
+            copy = []
+            for k, word in enumerate(own, 1):
+                change = k % every == 0 and k < length
+                copy += (["edited"] if kind == "replace" else [word, "edited"]) if change else [word]
+            items.append((number, " ".join(own)))
+            docs.append((number, " ".join(["before it"] * 20 + copy + ["after it"] * 20)))
+    return docs, items
+
+
+def test_copies_edited_at_even_distances_are_found(spark):
+    docs, items = edited_copies([("replace", 6), ("insert", 5), ("insert", 3), ("replace", 4),
+                                 ("insert", 2)], (4, 5, 7, 8, 9, 10, 11, 16, 39, 59))
+    want = plain_contaminated(docs, items)
+    assert {(n, n) for n in range(len(items)) if len(items[n][1].split()) >= 16
+            and n % 5 < 2} <= want
+    for extra in ([], [(1000 + n, text) for n, text in items]):
+        df = spark.createDataFrame(docs + extra, "doc_id long, text string")
+        found = decontamination.contaminated(
+            df, spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == want | {
+            (i, i - 1000) for i, _ in extra}
+
+
+def test_copies_edited_at_random_are_found():
+    rng = random.Random(8)
+    for least in (0.3, 0.6, 0.8):
+        for _ in range(300):
+            item = [rng.randrange(1, 40) for _ in range(rng.randrange(3, 45))]
+            copy = []
+            for word in item:
+                kind = rng.random()
+                copy += ([0] if kind < 0.12 else [] if kind < 0.18 else [word, 0]
+                         if kind < 0.3 else [word])
+            text = np.array([0] * rng.randrange(9) + copy + [0] * rng.randrange(9))
+            data = decontamination._Items((1,), {}, (np.array(item),))
+            found = list(decontamination._matches(
+                text, list(data.texts), decontamination._seeds(data, least), least))
+            score = decontamination.align(data.texts[0], text)[0]
+            assert [m[1] for m in found] == [score / len(item)] * (score >= least * len(item))
+
+
 def test_decontamination_of_all_documents(spark, documents):
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select(
         "item_id", "text").collect()]
