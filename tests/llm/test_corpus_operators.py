@@ -56,6 +56,30 @@ def test_repeated_strings_of_few_signs(spark, monkeypatch, seed):
     assert sorted_rows(digests(df, width=37), "*") == brute.repeated_bytes(docs, 37)
 
 
+def test_a_passage_in_many_documents_makes_no_large_block(spark, monkeypatch):
+    rng = random.Random(9)
+
+    def own(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+
+    passage = own(200)
+    docs = [(i % 280, own(rng.randrange(60)) + (passage + own(rng.randrange(3))) * rng.choice((1, 1, 2))
+             + own(rng.randrange(60))) for i in range(280)] + [(None, passage), (300, "é" + passage)]
+    whole = suffixes.shared_windows
+
+    def bounded(parts, holders, width):
+        if sum(map(len, parts)) > 3 * 2000:
+            raise ValueError("a block is larger than its bound")
+        return whole(parts, holders, width)
+
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "SAMPLE", 1, raising=False)
+    monkeypatch.setattr(suffixes, "WINDOWS_AT_ONCE", 500, raising=False)
+    monkeypatch.setattr(suffixes, "shared_windows", bounded)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted_rows(digests(df), "*") == brute.repeated_bytes(docs)
+
+
 def test_expansion_gives_common_prefixes():
     rng = random.Random(3)
     for width in (2, 5, 9):
