@@ -1,6 +1,6 @@
 """Language identification by n-gram sets in a bit-sliced Bloom filter.
 
-The filter has one word of language bits per slot. The slots of an n-gram's hashes, combined
+The filter has words of 64 language bits per slot, as many as the languages need. The slots of an n-gram's hashes, combined
 by AND, give at once all languages whose set holds the n-gram. The popcount of each language
 over a text, less the hits its filter gives by chance, decides.
 """
@@ -20,7 +20,7 @@ from surtido.llm.common import by_value, pieces
 by_value(__name__)
 
 UNKNOWN = "und"
-MOST_LANGUAGES = 64
+WORD_LANGUAGES = 64
 # Bounds of the training sample: documents per language, about, and n-grams per language.
 DOCS_PER_LANGUAGE = 2_000
 GRAMS_PER_LANGUAGE = 4_000
@@ -34,7 +34,10 @@ _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F16
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, most frequent first; the filter; the chance of a false hit per language."""
+    """Languages, most frequent first; the filter; the chance of a false hit per language.
+
+    The filter has a row per slot and a column per 64 languages (2 MB each).
+    """
 
     languages: tuple[str, ...]
     slots: np.ndarray
@@ -95,10 +98,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, "text"):
             texts = piece.column("text").to_pylist()
-            langs = np.array(piece.column("lang").to_pylist(), object)
+            langs: dict[str, int] = {}
+            which = np.array([langs.setdefault(x, len(langs))
+                              for x in piece.column("lang").to_pylist()])
             grams, owners, _ = _grams(texts)
-            for lang in dict.fromkeys(langs):
-                found, n = np.unique(grams[langs[owners] == lang], return_counts=True)
+            order = np.argsort(which[owners], kind="stable")
+            edges = np.searchsorted(which[owners][order], np.arange(len(langs) + 1))
+            for lang, a, b in zip(langs, edges[:-1], edges[1:]):
+                found, n = np.unique(grams[order[a:b]], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(found), pa.string()),
                      pa.array(found.view(np.int64)), pa.array(n, pa.int64())],
@@ -110,31 +117,33 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           grams_per_language: int = GRAMS_PER_LANGUAGE) -> Model:
     """The n-gram sets of the languages in ``lang_col``, as a bit-sliced filter.
 
-    Learns from about ``docs_per_language`` documents of each of the 64 most frequent
-    languages, chosen by a hash of their doc_id; a set holds the language's most frequent
-    n-grams. Rows without a language are left out; no rows give a model without languages.
+    Learns from about ``docs_per_language`` documents of each language, however many there
+    are, chosen by a hash of their doc_id; a set holds the language's most frequent n-grams.
+    Rows without a language are left out; no rows give a model without languages.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+        F.desc("n"), "lang").collect()
     languages = tuple(r["lang"] for r in sizes)
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
+    slots = np.zeros((1 << SLOT_BITS, -(-len(languages) // WORD_LANGUAGES)), np.uint64)
     if languages:
-        share = F.lit(0.0)
-        for r in sizes:
-            share = F.when(F.col("lang") == r["lang"],
-                           F.lit(docs_per_language / r["n"])).otherwise(share)
+        shares = F.map_from_arrays(F.lit(list(languages)),
+                                   F.lit([docs_per_language / r["n"] for r in sizes]))
+        share = F.element_at(shares, F.col("lang"))
         place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
         counts = rows.where(place < share).select("text", "lang").mapInArrow(
             _count, "lang string, gram bigint, n bigint")
         counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
         top = counts.withColumn("rank", rank).where(F.col("rank") <= grams_per_language)
-        for r in top.select("lang", "gram").collect():
-            for slot in _slots(np.array([r["gram"]], np.int64).view(np.uint64)):
-                slots[slot] |= np.uint64(1) << np.uint64(languages.index(r["lang"]))
-    fill = np.array([np.count_nonzero(slots >> np.uint64(i) & np.uint64(1)) / len(slots)
+        number = {lang: i for i, lang in enumerate(languages)}
+        for r in top.groupBy("lang").agg(F.collect_list("gram").alias("grams")).toLocalIterator():
+            word, bit = divmod(number[r["lang"]], WORD_LANGUAGES)
+            for slot in _slots(np.array(r["grams"], np.int64).view(np.uint64)):
+                slots[slot, word] |= np.uint64(1) << np.uint64(bit)
+    fill = np.array([np.count_nonzero(slots[:, i // WORD_LANGUAGES]
+                                      >> np.uint64(i % WORD_LANGUAGES) & np.uint64(1)) / len(slots)
                      for i in range(len(languages))])
     return Model(languages, slots, fill ** HASHES)
 
@@ -142,19 +151,25 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _decide(texts: list[str | None], languages: tuple[str, ...], table: np.ndarray,
             chance: np.ndarray) -> tuple[list[str], list[float]]:
     grams, owners, lettered = _grams(texts)
-    masks = np.full(len(grams), np.uint64(0xFFFFFFFFFFFFFFFF))
-    for slot in _slots(grams):
-        masks &= table[slot]
+    table = table.reshape(len(table), -1)
+    slots = _slots(grams)
     total = np.bincount(owners, minlength=len(texts)).astype(float)
-    hits = np.zeros((len(texts), len(languages)))
-    for i in range(len(languages)):
-        bit = (masks >> np.uint64(i)) & np.uint64(1)
-        hits[:, i] = np.bincount(owners, weights=bit, minlength=len(texts))
-    true = np.maximum(0.0, (hits - total[:, None] * chance) / (1 - chance))
-    sums = true.sum(axis=1)
-    best = true.argmax(axis=1)
-    score = np.divide(true[np.arange(len(texts)), best], sums, out=np.zeros(len(texts)),
-                      where=sums > 0)
+    sums, most = np.zeros(len(texts)), np.full(len(texts), -1.0)
+    best = np.zeros(len(texts), np.int64)
+    for low in range(0, len(languages), WORD_LANGUAGES):
+        masks = np.full(len(grams), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for slot in slots:
+            masks &= table[slot, low // WORD_LANGUAGES]
+        there = np.flatnonzero(masks)
+        masks, holders = masks[there], owners[there]
+        for i in range(low, min(low + WORD_LANGUAGES, len(languages))):
+            bit = (masks >> np.uint64(i - low)) & np.uint64(1)
+            hits = np.bincount(holders[bit != 0], minlength=len(texts))
+            true = np.maximum(0.0, (hits - total * chance[i]) / (1 - chance[i]))
+            sums += true
+            best = np.where(true > most, i, best)
+            most = np.maximum(most, true)
+    score = np.divide(most, sums, out=np.zeros(len(texts)), where=sums > 0)
     names = [languages[b] if l else UNKNOWN for b, l in zip(best, lettered)]
     return names, np.where(lettered, score, 0.0).tolist()
 

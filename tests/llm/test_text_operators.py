@@ -185,6 +185,23 @@ def test_language_edges(spark, edges, empty):
     assert {r["lang_pred"] for r in langid.predict(edges, nothing).collect()} == {"und"}
 
 
+def test_all_of_many_languages_are_learned(spark):
+    def text(lang, n):
+        letters = [chr(0x4E00 + 12 * lang + k) for k in range(12)]
+        return " ".join("".join(letters[(n + 5 * w + k * (w + 1)) % 12] for k in range(6))
+                        for w in range(30))
+
+    rows = [(1000 * lang + n, text(lang, n), f"l{lang}") for lang in range(130)
+            for n in range(2 + (lang < 70))]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 130 and model.slots.shape == (1 << langid.SLOT_BITS, 3)
+    new = spark.createDataFrame([(lang, text(lang, 7)) for lang in range(130)],
+                                "doc_id long, text string")
+    got = langid.predict(new, model).collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in got} == {(i, f"l{i}") for i in range(130)}
+    assert all(r["score"] > 0.9 for r in got)
+
+
 def test_false_hits_are_taken_off():
     model = langid.Model(("a", "b"), np.full(1 << langid.SLOT_BITS, np.uint64(1)),
                          np.array([1 - 1e-9, 0.0]))
