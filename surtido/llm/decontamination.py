@@ -75,7 +75,7 @@ def _read_items(rows: list) -> _Items:
     ids, texts = [], []
     for row in rows:
         found = _WORD.findall((row["text"] or "").lower())
-        if len(found) >= GRAM_WORDS:
+        if found:
             ids.append(row["item_id"])
             texts.append(np.array([words.setdefault(w, len(words) + 1) for w in found]))
     if len(words) >= 1 << _BITS:
@@ -161,7 +161,7 @@ def _windows(starts: np.ndarray, length: int, pad: int,
     first = 0
     for k, s in enumerate(starts.tolist()):
         a, b = max(0, s - pad), min(n, s + length + pad)
-        if high is not None and a <= high and b - low <= 8 * length:
+        if high is not None and a <= high:
             high = max(high, b)
             continue
         if high is not None:
@@ -200,25 +200,44 @@ def _hits(numbers: np.ndarray, seeds: _Seeds) -> Iterator[tuple[int, np.ndarray,
         yield i, start[a:b], offset[a:b]
 
 
+def _copies(item: np.ndarray, text: np.ndarray, points: int) -> Iterator[tuple[float, int, int]]:
+    """(score, start, stop) of the copies in a text, from left to right.
+
+    The best one of a chunk is taken first, then those beside it. A copy is shorter than two
+    items, so one that begins two items before a chunk's end is whole; later ones are left to
+    the next chunk.
+    """
+    low, chunk = 0, max(64, 8 * len(item))
+    while low < len(text):
+        high = min(len(text), low + chunk)
+        stop = high if high == len(text) else high - 2 * len(item)
+        parts, found = [(low, high)], []
+        while parts:
+            left, right = parts.pop()
+            # Every match takes a word that both hold, so this bounds the score.
+            if _common(item, text[left:right]) * MATCH < points:
+                continue
+            score, a, b = align(item, text[left:right])
+            if score >= points:
+                found += [(left + a, left + b, score)] * (left + a < stop)
+                parts += [(left, left + a), (left + b, right)]
+        for a, b, score in sorted(found):
+            yield score, a, b
+        low = max([stop] + [b for _, b, _ in found])
+
+
 def _matches(numbers: np.ndarray, items: list, seeds: _Seeds,
              least: float) -> Iterator[tuple]:
-    """(item, score, start, stop) of the items a text holds; each item once, its best place."""
+    """(item, score, start, stop) of the copies of items a text holds, which do not overlap."""
     for item, starts, offsets in _hits(numbers, seeds):
-        text, best = items[item], (0.0, 0, 0)
+        text = items[item]
         points = _least_points(len(text), least)
         pad = max(len(text) // 2, len(text) - points) + 1
         for low, high, i, j in _windows(starts, len(text), pad, len(numbers)):
             if len(np.unique(offsets[i:j])) < seeds.least_hits[item]:
                 continue
-            part = numbers[low:high]
-            # Every match takes a word that both hold, so this bounds the score.
-            if _common(text, part) * MATCH < max(best[0], points):
-                continue
-            score, a, b = align(text, part)
-            if score > best[0]:
-                best = (score, low + a, low + b)
-        if best[0] >= points:
-            yield item, best[0] / len(text), best[1], best[2]
+            for score, a, b in _copies(text, numbers[low:high], points):
+                yield item, score / len(text), low + a, low + b
 
 
 def _seeds(data: _Items, least: float) -> _Seeds:
@@ -269,8 +288,9 @@ def annotate(docs: DataFrame, items: DataFrame, text_col: str = "text",
 
     A match has the item's id, the alignment's score over that of an exact copy, at least
     ``least_score``, and its first word and the word after its last. Words are compared in
-    lower case without punctuation. An item below three words has no n-gram and is not
-    searched for; null and empty texts hold and match nothing; repeated rows get equal
+    lower case without punctuation. A document has a match for each copy of an item; copies
+    of one item do not overlap, the best is taken first. Items of one or two words are found
+    where all their words stand in a row; null and empty texts hold and match nothing; repeated rows get equal
     answers; equal items are all reported; an empty table of items gives no matches; columns
     may have any names. Items come in blocks of a fixed size, so what is broadcast is
     bounded; documents are never collected.
