@@ -92,7 +92,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     is such a pair. A list of up to ``LIST_MOST`` fingerprints gives its pairs. In a longer
     list, as near copies make, two fingerprints are near exactly if they share a value at
     most one bit away from both; each such value joins at most 33 fingerprints, which are
-    all near each other and are hung on the least. So no list is cut and none is squared.
+    all near each other and are hung on the least. Below two bits a fingerprint is linked to
+    those that are one bit away from it. So no list is cut and none is squared.
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("the index guarantees links of at most 2 bits")
@@ -123,6 +124,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     stars = met.where(F.size("fps") > 1).select(
         F.col("fps")[0].alias("a"), F.explode(F.expr("slice(fps, 2, size(fps))")).alias("b"))
 
+    if max_bits < 2:  # a star's links may be of two bits; take those with the value itself
+        stars = met.where(F.array_contains("fps", F.col("near"))).select(
+            F.col("near").alias("a"), F.explode("fps").alias("b")).where("a < b")
+
     return pairs.unionByName(stars).where(
         F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
 

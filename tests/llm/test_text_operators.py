@@ -88,6 +88,16 @@ def test_long_lists_lose_no_link(spark, monkeypatch):
     assert links.where("bit_count(a ^ b) > 2").count() == 0
 
 
+def test_long_lists_lose_no_link_of_one_bit(spark, monkeypatch):
+    prints = spark.createDataFrame([(2,), (5,), (6,), (7,), (256,)], "fp long")
+    want = {(2, 6), (5, 7), (6, 7)}
+    for most in (64, 2):
+        monkeypatch.setattr(simhash, "LIST_MOST", most)
+        found = simhash.links(prints, 1).collect()
+        assert {tuple(sorted((r["a"], r["b"]))) for r in found} == want
+        assert simhash.links(prints, 0).count() == 0
+
+
 def test_line_dedup(spark, edges, empty, documents):
     def digests(docs):
         out = lines.drop_lines(docs, lines.keep_bitmaps(docs))
