@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surtido.llm import (
-    bpe, decontamination, langid, lines, quality, sharding, simhash, suffixes, toxicity, warc,
+    bpe, clustering, decontamination, langid, lines, quality, sharding, simhash, suffixes,
+    toxicity, warc, whitening,
 )
 from surtido.llm.common import shared_folder
 from surtido.llm.sql import ORACLES
@@ -90,6 +91,26 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(docs, table(spark, folder, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    white, model = whitening.whiten(rows)
+    shares = [v / model.trace for v in model.values.tolist()] if model else []
+    return white.select("row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"),
+                        F.lit(model.n if model else 0).cast("long").alias("n")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+        F.array(*map(F.lit, shares)).cast("array<double>")[F.col("at")].alias("explained"),
+        F.lit(model.identity_error if model else None).cast("double").alias("identity_error"))
+
+
+def op13_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = clustering.cluster(table(spark, folder, "embeddings"))
+    return found.select(
+        "vec_id", "cluster", "distance", F.expr("try_cast(cluster_inertia AS bigint)").alias(
+            "cluster_inertia"), F.expr("try_cast(inertia AS bigint)").alias("inertia"),
+        clustering.centroid_hash(F.col("centroid")).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_bpe, op3_toxicity, op4_warc_revisits, op5_quality_rules, op6_simhash,
-    op7_suffix_dedup, op8_line_dedup, op9_sharding, op10_decontamination)}
+    op7_suffix_dedup, op8_line_dedup, op9_sharding, op10_decontamination, op12_whitening,
+    op13_clustering)}

@@ -82,8 +82,56 @@ _QUALITY = f"""
     SELECT *, NOT base_failed AND {" AND ".join(f"ok_{r.name}" for r in RULES)} AS kept
     FROM judged"""
 
+
+def _clusters(rounds: int = 10, clusters: int = 8) -> str:
+    """Every round is two tables: the nearest centroids, and the floors of the exact means."""
+    def nearest(number: int) -> str:
+        return f"""
+    near{number} AS MATERIALIZED (
+        SELECT rid, min(pair).d AS distance, min(pair).cluster AS cluster FROM (
+            SELECT rid, {{'d': CAST(sum((e.v - c.v) * (e.v - c.v)) AS BIGINT), 'cluster': cluster}}
+                AS pair
+            FROM entries e JOIN means{number} c USING (place) GROUP BY rid, cluster)
+        GROUP BY rid)"""
+
+    def means(number: int) -> str:
+        return f"""
+    sums{number} AS (
+        SELECT cluster, place, sum(v) AS s, count(*) AS n
+        FROM near{number - 1} JOIN entries USING (rid) GROUP BY cluster, place),
+    means{number} AS MATERIALIZED (
+        SELECT cluster, place, CASE WHEN n IS NULL THEN v ELSE
+            CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS v
+        FROM means{number - 1} LEFT JOIN sums{number} USING (cluster, place))"""
+
+    steps = [nearest(0)] + [t(i) for i in range(1, rounds + 1) for t in (means, nearest)]
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id,
+            [CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x
+        FROM embeddings WHERE len(embedding) = 64
+            AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+    entries AS MATERIALIZED (
+        SELECT rid, unnest(x) AS v, unnest(range(1, 65)) AS place FROM kept),
+    firsts AS MATERIALIZED (
+        SELECT rid, row_number() OVER (ORDER BY hash NULLS LAST, x) - 1 AS cluster
+        FROM (SELECT *, sha256('3:' || vec_id) AS hash FROM kept)
+        ORDER BY cluster LIMIT {clusters}),
+    means0 AS MATERIALIZED (
+        SELECT CAST(cluster AS INTEGER) AS cluster, place, v FROM firsts JOIN entries USING (rid)),
+    {",".join(steps)},
+    hashes AS (
+        SELECT cluster, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256
+        FROM means{rounds} GROUP BY cluster)
+    SELECT vec_id, cluster, distance,
+        CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+        CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM near{rounds} JOIN kept USING (rid) JOIN hashes USING (cluster)"""
+
+
 ORACLES: dict[str, str] = {
     "op4_warc_revisits": _WARC,
     "op5_quality_rules": _QUALITY,
     "op8_line_dedup": _LINES,
+    "op13_clustering": _clusters(),
 }
