@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surtido.llm import (
-    bpe, clustering, decontamination, langid, lines, quality, sharding, simhash, suffixes,
-    toxicity, warc, whitening,
+    bpe, clustering, decontamination, langid, lines, packing, quality, sharding, simhash,
+    suffixes, toxicity, warc, whitening,
 )
 from surtido.llm.common import shared_folder
 from surtido.llm.sql import ORACLES
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,6 +92,14 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminated(docs, table(spark, folder, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        tokenizer = file.read()
+    packed, _ = packing.pack(table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
+    return packed.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias(
+        "ids_crc32"), "sequence_id", "offset")
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
     white, model = whitening.whiten(rows)
@@ -112,5 +121,5 @@ def op13_clustering(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_language_id, op2_bpe, op3_toxicity, op4_warc_revisits, op5_quality_rules, op6_simhash,
-    op7_suffix_dedup, op8_line_dedup, op9_sharding, op10_decontamination, op12_whitening,
-    op13_clustering)}
+    op7_suffix_dedup, op8_line_dedup, op9_sharding, op10_decontamination, op11_packing,
+    op12_whitening, op13_clustering)}

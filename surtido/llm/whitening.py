@@ -25,7 +25,7 @@ COMPONENTS = 16
 # Whole steps per unit of an entry, and what is added to them.
 SCALE = 64
 SHIFT = 1_000_000
-# Entries beyond this many steps would pass 64-bit sums.
+# Entries beyond this many steps would pass the 64-bit sums of a batch.
 LARGEST = 1 << 40
 # Eigenvalues in an interval, at most, unless they are equal to rounding.
 INTERVAL_MOST = 6
@@ -183,6 +183,15 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return flat.reshape(batch.num_rows, -1)
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rows, sums of the entries) of every batch; of a batch, 64 bits hold them."""
+    for batch in batches:
+        if batch.num_rows:
+            total = pa.array([_matrix(batch).sum(axis=0)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.num_rows], pa.int64()), total], ["n", "total"])
+
+
 def _deviations(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
     """n * x - S, as whole numbers; Python's where 64 bits are too few."""
     if n * int(np.abs(x).max(initial=0)) + int(np.abs(sums).max(initial=0)) < 1 << 62:
@@ -230,8 +239,9 @@ def fit_whitening(rows: DataFrame, components: int = COMPONENTS) -> Whitening |
     for the check of the result.
     """
     fit = stored(rows.select("x").distinct())
-    added = fit.select(F.posexplode("x").alias("at", "value")).groupBy("at").agg(
-        F.count(F.lit(1)).alias("n"),
+    added = fit.mapInArrow(_sums, "n bigint, total array<bigint>").select(
+        "n", F.posexplode("total").alias("at", "value")).groupBy("at").agg(
+        F.sum("n").alias("n"),
         F.sum(F.col("value").cast("decimal(38,0)")).alias("value")).orderBy("at").collect()
     if not added:
         return None
