@@ -67,6 +67,25 @@ def test_copies_and_very_long_texts(spark):
     assert count == plan.sequences <= -(-tokens // 2048) + 1
 
 
+def test_ids_are_those_of_the_tokenizer():
+    with open(PATH, encoding="utf-8") as file:
+        source = file.read()
+    whole, coder = Tokenizer.from_str(source), packing.id_coder(source)
+    whole.encode_special_tokens = True
+    assert packing.byte_ranks(source) is not None
+    texts = [f"a{c}b1{c}2.{c}, {c} {c}{c}  {c}x\n{c} 's{c}" for c in map(
+        chr, [*range(0x3000), *range(0xA000, 0xD800, 7), *range(0xE000, 0x110000, 61)])]
+    texts += [whole.decode([i]) for i in range(0, 50_257, 3)]
+    texts += [" " * 1_500_000 + "x", "<|endoftext|> a", "漢字" * 9000, "a" * 5000]
+    for text, coded in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
+        assert coder(text).tolist() == coded.ids
+    other = source.replace('"add_prefix_space":false', '"add_prefix_space":true').replace(
+        '"add_prefix_space": false', '"add_prefix_space": true')
+    assert packing.byte_ranks(other) is None
+    prefixed = Tokenizer.from_str(other)
+    assert packing.id_coder(other)("word two").tolist() == prefixed.encode("word two").ids
+
+
 def least_sequences(lengths, size):
     """The fewest sequences, by trying all assignments."""
     lengths = sorted(lengths, reverse=True)
