@@ -139,20 +139,42 @@ def _check_products(productos: DataFrame) -> DataFrame:
 
 
 def _check_facts(facts: DataFrame, table: str, productos: DataFrame, key: str) -> DataFrame:
-    """Row rules and references of a fact table in one pass, and its key in one more column."""
+    """Row rules, references and the whole-number key of a fact table, in one scan.
+
+    A row counts twice in one aggregate: for its product, and as a bit among the 64 keys
+    around its own. Both are summed inside each task before the shuffle: a hot product is a
+    row per task, and generated keys, which follow each other, a word of bits for 64 rows.
+    """
     rules = _row_rules()[table]
-    unknown = "id_producto references productos"
-    counts = facts.groupBy("id_producto").agg(
-        *[F.count_if(rule).alias(name) for name, rule in rules.items()],
-        F.count(F.lit(1)).alias("filas"))
-    known = productos.select("id_producto").distinct().withColumn("conocido", F.lit(True))
+    unknown, repeated = "id_producto references productos", f"{key} primary key"
+    nothing = F.lit(0).cast("bigint")
+    product = F.struct(
+        F.col("id_producto"), F.lit(None).cast("bigint").alias("_tramo"),
+        F.lit(None).cast("bigint").alias("_bit"), F.lit(1).cast("bigint").alias("_filas"),
+        *[F.coalesce(rule, F.lit(False)).cast("bigint").alias(name)
+          for name, rule in rules.items()])
+    parts = [product]
+    if key in facts.columns:
+        value = F.col(key).cast("bigint")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                              F.pmod(value, F.lit(64)).cast("int"))
+        parts.append(F.when(value.isNotNull(), F.struct(
+            F.lit(None).cast("string").alias("id_producto"),
+            F.shiftright(value, 6).alias("_tramo"), bit.alias("_bit"),
+            nothing.alias("_filas"), *[nothing.alias(name) for name in rules])))
+    pairs = facts.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).select("p.*")
+    sums = [F.sum(f"`{name}`").alias(name) for name in rules]
+    grouped = pairs.groupBy("id_producto", "_tramo").agg(
+        *sums, F.sum("_filas").alias("_filas"),
+        (F.count("_bit") - F.coalesce(F.bit_count(F.bit_or("_bit")), F.lit(0))).alias(repeated))
+    # The words of keys have no product: they are one group before the references are joined.
+    counts = grouped.groupBy("id_producto").agg(
+        *sums, F.sum("_filas").alias("_filas"), F.sum(f"`{repeated}`").alias(repeated))
+    known = productos.select("id_producto").distinct().withColumn("_hay", F.lit(True))
     counts = counts.join(known, "id_producto", "left").withColumn(unknown, F.when(
-        F.col("id_producto").isNotNull() & F.col("conocido").isNull(), F.col("filas")).otherwise(0))
-    checked = _as_rules(_sums(counts, [*rules, unknown]), table)
-    if key not in facts.columns:
-        return checked
-    repeated = repeated_keys(facts, key).withColumnRenamed("repetidas", f"{key} primary key")
-    return checked.unionByName(_as_rules(repeated, table))
+        F.col("id_producto").isNotNull() & F.col("_hay").isNull(), F.col("_filas")).otherwise(0))
+    named = [*rules, unknown] + [repeated] * (len(parts) > 1)
+    return _as_rules(_sums(counts, named), table)
 
 
 def validate_constraints(productos: DataFrame, ventas: DataFrame,
