@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from surtido.constants import ALPHA_GRID, FALLBACK_ALPHA, FEATURES, TARGET
 from surtido.operators import forecast as fc
 from surtido.operators import ridge as m
-from surtido.operators.features import scaling, with_position
-from surtido.operators.series import KEY, whole_series
+from surtido.operators.features import prepared_series, scaling
+from surtido.operators.series import KEY, demand_series, whole_series
 from surtido.plans.training import train
 from surtido.registry.base import LINES, STORED, clean, monthly_ctes, r_sql, rounded, sql
-from surtido.registry.series import COUNTRY_PREPARED, PREPARED, country_prepared, prepared
+from surtido.registry.series import (
+    COUNTRY_PREPARED, PREPARED, PREPARED_STEPS, country_prepared, prepared,
+)
 
 WIDTH = len(FEATURES)
 
@@ -89,11 +91,6 @@ def _job(s, d):
     return rounded(train(clean(s, d)).forecast, "ventas_reales", "ventas_predichas", digits=4)
 
 
-def _cut_short(forecast: DataFrame) -> DataFrame:
-    """The forecast without the last months of the nations whose number ends in 1."""
-    return forecast.filter(~F.col(KEY).endswith("1") | (F.month("fecha") <= 7))
-
-
 def _too_short(s, d):
     return train(clean(s, d), ["id_producto", "Country"], min_days=1).too_short
 
@@ -102,11 +99,9 @@ def _skipped(s, d):
     return train(clean(s, d), ["id_producto", "Country"], min_days=1).skipped
 
 
-def _last_rows(rows: DataFrame) -> DataFrame:
-    """The last one to six rows of a nation, by its number: some are too few to search."""
-    number = F.regexp_extract(KEY, r"(\d+)$", 1).cast("int")
-    placed = with_position(rows)
-    return placed.filter(F.col("fila") >= F.col("n") - 1 - number % 6).drop("fila", "n")
+def _pair_prepared(s, d) -> DataFrame:
+    """Series of every product and country: many have too few months to search an alpha."""
+    return prepared_series(demand_series(clean(s, d), ["id_producto", "Country"], 1))
 
 
 QUERIES = {
@@ -125,12 +120,11 @@ QUERIES = {
         fc.recursive_steps(_fixed_models(country_prepared(s, d))), "prediccion"),
     "forecast_next_year": _job,
     "forecast_next_year_by_country": lambda s, d: _forecast(m.fit_models(country_prepared(s, d))),
-    "incomplete_forecasts": lambda s, d: fc.incomplete_forecasts(_cut_short(
-        fc.forecast_next_year(m.fit_models(country_prepared(s, d))))),
+    "incomplete_forecasts": lambda s, d: fc.incomplete_forecasts(
+        fc.forecast_next_year(m.fit_models(country_prepared(s, d)))),
     "short_series": _too_short,
     "skipped_series": _skipped,
-    "alpha_selected_short": lambda s, d: _alphas(
-        m.fit_models(_last_rows(country_prepared(s, d)))),
+    "alpha_selected_short": lambda s, d: _alphas(m.fit_models(_pair_prepared(s, d))),
 }
 
 # --- SQL ----------------------------------------------------------------------
@@ -284,6 +278,7 @@ _COEFFICIENTS = f"""
         {r_sql('w[j]')} AS coef, {r_sql('media')} AS media, {r_sql('escala')} AS escala
     FROM model JOIN scaler ON scaler.series_key = model.series_key"""
 
+_PAIR = "id_producto || '|' || \"Country\""
 _FIT = (*PREPARED, *_fit_ctes(_ALL_ROWS))
 _COUNTRY_FIT = (*COUNTRY_PREPARED, *_fit_ctes(_ALL_ROWS))
 _TRAIN = (*PREPARED, *_fit_ctes(_TRAIN_ROWS), _SCALES, *_BACKTEST)
@@ -340,18 +335,14 @@ ORACLES = {
                                          recursive=True),
     "incomplete_forecasts": sql((*_COUNTRY_FIT, _SCALES, *_steps("model")), """
         SELECT series_key, count(*) AS meses FROM steps WHERE year(fecha) = year(ultima) + 1
-            AND (series_key NOT LIKE '%1' OR month(fecha) <= 7)
         GROUP BY series_key HAVING count(*) <> 12""", recursive=True),
-    "short_series": sql((*LINES, *monthly_ctes("id_producto || '|' || \"Country\"", 1)), """
+    "short_series": sql((*LINES, *monthly_ctes(_PAIR, 1)), """
         SELECT series_key, count(*) AS meses FROM covered
         GROUP BY series_key HAVING count(*) <= 3"""),
-    "skipped_series": sql((*LINES, *monthly_ctes("id_producto || '|' || \"Country\"", 1)), """
+    "skipped_series": sql((*LINES, *monthly_ctes(_PAIR, 1)), """
         SELECT series_key, count(*) AS meses,
             CASE WHEN count(*) <= 3 THEN 'sin modelo' ELSE 'sin backtest' END AS motivo
         FROM covered GROUP BY series_key HAVING count(*) <= 4"""),
-    "alpha_selected_short": sql((*COUNTRY_PREPARED, *_fit_ctes("""
-        SELECT * EXCLUDE (n, fila, k), CAST(fila - (n - k) AS INTEGER) AS fila, k AS n FROM (
-            SELECT *, least(n, 1 + CAST(regexp_extract(series_key, '([0-9]+)$', 1) AS INTEGER) % 6)
-                AS k FROM placed)
-        WHERE fila >= n - k""")), _ALPHA, recursive=True),
+    "alpha_selected_short": sql((*LINES, *monthly_ctes(_PAIR, 1), *PREPARED_STEPS,
+                                 *_fit_ctes(_ALL_ROWS)), _ALPHA, recursive=True),
 }

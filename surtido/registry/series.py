@@ -124,8 +124,9 @@ FEATURE_ROWS = (
     FROM features"""),
 )
 
-PREPARED = (*SERIES, *LOGS, *FEATURE_ROWS)
-COUNTRY_PREPARED = (*COUNTRY_SERIES, *LOGS, *FEATURE_ROWS)
+PREPARED_STEPS = (*LOGS, *FEATURE_ROWS)
+PREPARED = (*SERIES, *PREPARED_STEPS)
+COUNTRY_PREPARED = (*COUNTRY_SERIES, *PREPARED_STEPS)
 
 _MATRIX = (
     "SELECT series_key, fecha, mes, trimestre, tendencia, "
