@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surtido.constants import MIN_ACTIVE_DAYS
-from surtido.functions import is_cancelled
-from surtido.operators.catalog import recent_cutoff
-from surtido.operators.cleaning import drop_exact_duplicates, keep_sales
+from surtido.operators.catalog import cutoff_of, days_since
+from surtido.operators.cleaning import COPIES, STEP
 
 
 def _as_rows(one_row: DataFrame, names: list[str], label: str) -> DataFrame:
@@ -20,38 +19,32 @@ def _as_rows(one_row: DataFrame, names: list[str], label: str) -> DataFrame:
     return one_row.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def cleaning_audit(raw: DataFrame, clean: DataFrame | None = None) -> DataFrame:
+def cleaning_audit(counted: DataFrame) -> DataFrame:
     """Rows left after every cleaning step: ``orden, paso, filas``.
 
-    The filter counts take one pass over three columns. The distinct count comes from
-    ``clean`` where it is already stored, and repeats duplicate removal otherwise.
+    ``counted`` are lines by :func:`~surtido.operators.cleaning.count_copies`, best the written
+    ones: two columns of them are read, and the raw input is not read again.
     """
-    sold = ~is_cancelled(F.col("InvoiceNo"))
-    some = sold & F.coalesce(F.col("Quantity") > 0, F.lit(False))
-    priced = some & F.coalesce((F.col("UnitPrice") > 0) & ~F.isnan("UnitPrice"), F.lit(False))
-    counts = raw.agg(
-        F.count(F.lit(1)).alias("inicio"),
-        F.count_if(sold).alias("sin_cancelaciones"),
-        F.count_if(some).alias("cantidad_positiva"),
-        F.count_if(priced).alias("precio_positivo"),
-    )
-    distinct = drop_exact_duplicates(keep_sales(raw)) if clean is None else clean
-    unique = distinct.agg(F.count(F.lit(1))).scalar()
-    counts = counts.withColumn("sin_duplicados", unique)
+    def left(*dropped: int) -> Column:
+        kept = F.when(~F.col(STEP).isin(*dropped), F.col(COPIES)) if dropped else F.col(COPIES)
+        return F.coalesce(F.sum(kept), F.lit(0))
+
+    counts = counted.agg(
+        left().alias("inicio"), left(1).alias("sin_cancelaciones"),
+        left(1, 2).alias("cantidad_positiva"), left(1, 2, 3).alias("precio_positivo"),
+        F.count_if(F.col(STEP) == 0).alias("sin_duplicados"))
     return _as_rows(counts, counts.columns, "paso")
 
 
-def split_audit(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
+def split_audit(days: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
     """Products and rows kept and excluded by the activity filter: ``orden, medida, filas``.
 
-    Products without any sale in the last month are dropped too, but the excluded count
-    covers only those sold on too few days.
+    ``days`` are the active days by :func:`~surtido.operators.catalog.day_masks`, best the
+    written ones. Products without any sale in the last month are dropped too, but the
+    excluded count covers only those sold on too few days.
     """
-    recent = F.col("fecha_venta") >= recent_cutoff(clean)
-    per_day = clean.groupBy("id_producto", "fecha_venta").agg(F.count(F.lit(1)).alias("filas"))
-    per_product = per_day.groupBy("id_producto").agg(
-        F.sum("filas").alias("filas"), F.count_if(recent).alias("dias")
-    ).filter(F.col("id_producto").isNotNull())
+    per_product = days.where(F.col("id_producto").isNotNull()).groupBy("id_producto").agg(
+        F.sum("filas").alias("filas"), F.sum(days_since(cutoff_of(days))).alias("dias"))
     kept = F.col("dias") >= min_days
     counts = per_product.agg(
         F.count_if((F.col("dias") > 0) & ~kept).alias("productos_excluidos"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surtido.constants import DEFAULT_CATEGORY, MIN_ACTIVE_DAYS
+from surtido.functions import month_start
 from surtido.schemas import VENTAS
 
 # The stored columns but the key, which the sink adds.
@@ -24,21 +25,49 @@ def last_month_lines(clean: DataFrame) -> DataFrame:
     return clean.filter(F.col("fecha_venta") >= recent_cutoff(clean))
 
 
-def active_days(clean: DataFrame) -> DataFrame:
+def day_masks(clean: DataFrame) -> DataFrame:
+    """The active days of every product and month as bits: ``id_producto, mes, dias, filas``.
+
+    Bit 0 of ``dias`` is the first of the month; ``filas`` counts the lines. Masks of parts of
+    the lines are merged by ``bit_or``, in the tasks before the shuffle as well, so a hot
+    product sends one row per month and task. A mask takes four bytes; everything that is
+    asked about active days is answered from this table without the lines. Copies of lines
+    change nothing but ``filas``.
+    """
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth("fecha_venta") - 1)
+    return clean.groupBy("id_producto", month_start(F.col("fecha_venta")).alias("mes")).agg(
+        F.bit_or(bit).alias("dias"), F.count(F.lit(1)).alias("filas"))
+
+
+def cutoff_of(days: DataFrame) -> Column:
+    """:func:`recent_cutoff` from day masks: the highest bit of a mask is its newest day."""
+    newest = F.date_add("mes", F.length(F.bin("dias")) - 1)
+    return days.agg(F.add_months(F.max(newest), -1)).scalar()
+
+
+def days_since(first: Column) -> Column:
+    """How many days of a mask, from ``first`` on."""
+    whole, part = F.bit_count("dias"), F.bit_count(
+        F.call_function("shiftrightunsigned", F.col("dias"), F.dayofmonth(first) - 1))
+    month = month_start(first)
+    return F.coalesce(F.when(F.col("mes") > month, whole).when(
+        F.col("mes") == month, part), F.lit(0))
+
+
+def active_days(clean: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """Distinct sale days per product in the last month.
 
-    Distinct pairs of product and day first: copies go before the shuffle, and a hot
-    product is spread over its days. The newest day is taken from the same pairs, so the
-    lines are scanned once for both. Copies of lines change nothing here.
+    From the day masks, ``days`` where they are written already, else those of the lines.
     """
-    days = clean.select("id_producto", "fecha_venta").distinct()
-    recent = F.col("fecha_venta") >= recent_cutoff(days)
-    counts = days.groupBy("id_producto").agg(F.count_if(recent).alias("dias_vendido"))
+    days = day_masks(clean) if days is None else days
+    counts = days.groupBy("id_producto").agg(
+        F.sum(days_since(cutoff_of(days))).alias("dias_vendido"))
     return counts.filter(F.col("dias_vendido") > 0)
 
 
-def valid_products(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
-    return active_days(clean).filter(F.col("dias_vendido") >= min_days)
+def valid_products(clean: DataFrame | None = None, min_days: int = MIN_ACTIVE_DAYS,
+                   days: DataFrame | None = None) -> DataFrame:
+    return active_days(clean, days).filter(F.col("dias_vendido") >= min_days)
 
 
 def keep_valid(clean: DataFrame, min_days: int = MIN_ACTIVE_DAYS,

@@ -6,7 +6,7 @@ duplicate removal is the only shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surtido.constants import INTERNAL_NAMES, MISSING_CODE, MISSING_DESCRIPTION
@@ -67,6 +67,31 @@ def keep_sales(lines: DataFrame) -> DataFrame:
     return keep_positive(drop_cancelled(lines))
 
 
+# The step that drops a line, 0 for those that stay, and how many equal raw lines a row is.
+STEP = "_paso"
+COPIES = "_copias"
+
+
+def dropped_at() -> Column:
+    """1 for cancelled lines, 2 for no quantity above zero, 3 for no price, 0 for the others."""
+    some = F.coalesce(F.col("Quantity") > 0, F.lit(False))
+    priced = F.coalesce((F.col("UnitPrice") > 0) & ~F.isnan("UnitPrice"), F.lit(False))
+    return F.when(is_cancelled(F.col("InvoiceNo")), 1).when(~some, 2).when(~priced, 3).otherwise(0)
+
+
+def count_copies(raw: DataFrame) -> DataFrame:
+    """The distinct sold lines with their number of copies, and a row for each dropping step.
+
+    One aggregate removes the duplicates and counts everything that cleaning removes: dropped
+    lines lose their values, so those of a step are one group inside every task. The counts
+    travel and are written with the rows, so a repeated task cannot count twice.
+    """
+    tagged = raw.withColumn(STEP, dropped_at())
+    held = [F.when(F.col(STEP) == 0, raw[f"`{c}`"]).alias(c) for c in raw.columns]
+    return tagged.select(*held, STEP).groupBy(*[f"`{c}`" for c in raw.columns], STEP).agg(
+        F.count(F.lit(1)).alias(COPIES))
+
+
 def normalize_lines(lines: DataFrame) -> DataFrame:
     """The projections that follow duplicate removal."""
     steps = (fill_missing, normalize_dates, normalize_text, add_line_total, to_internal_names)

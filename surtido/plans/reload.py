@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,52 +11,57 @@ from pyspark.sql import functions as F
 from surtido.constants import MIN_ACTIVE_DAYS, MIN_MONTH_COVERAGE
 from surtido.operators.allocation import allocate, global_rows, product_shares
 from surtido.operators.audit import cleaning_audit, split_audit
-from surtido.operators.catalog import split_tables, valid_products
-from surtido.operators.cleaning import clean_lines
+from surtido.operators.catalog import day_masks, split_tables, valid_products
+from surtido.operators.cleaning import count_copies, normalize_lines
 from surtido.operators.forecast import forecast_next_year
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import demand_series
 from surtido.plans.training import Training
-from surtido.session import (
-    SETTINGS, ensure_checkpoint_dir, list_folder, move_folder, remove_folder,
-)
+from surtido.session import SETTINGS, ensure_checkpoint_dir, remove_folder
 from surtido.sinks import (
-    append_forecasts, append_sales, clear_tables, insert_ignore, write_clean,
+    append_forecasts, append_sales, clear_tables, insert_ignore, write_clean, write_days,
     write_forecast_csv, write_metrics, write_model, write_series, write_valid,
 )
 from surtido.sources import load_dataset, read_clean, read_metrics, read_model, read_stored
+from surtido.versions import current, new_version, publish, remove_old
 
 
 def store_clean(raw: DataFrame, warehouse: str) -> DataFrame:
     """Clean and write the lines, and go on from the written table.
 
     The table cuts the lineage: the later steps scan its columns instead of repeating
-    duplicate removal, and it is kept when one of them fails.
+    duplicate removal, and it is kept when one of them fails. It holds the counts of the
+    audit as well, so the raw input is read once.
     """
-    write_clean(clean_lines(raw), warehouse)
+    write_clean(normalize_lines(count_copies(raw)), warehouse)
     return read_clean(raw.sparkSession, warehouse)
 
 
-def store_tables(clean: DataFrame, warehouse: str, min_days: int = MIN_ACTIVE_DAYS) -> None:
-    """Split the clean lines and reload productos and ventas.
+def store_tables(clean: DataFrame, warehouse: str, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
+    """Split the clean lines and reload productos and ventas; returns the active days.
 
-    The valid products are written first: both tables filter by them, and the size of the
-    file tells the planner how to join.
+    The active days are written first, and the valid products from them: both tables filter
+    by these, and the size of the file tells the planner how to join.
     """
-    valid = write_valid(valid_products(clean, min_days), warehouse)
+    days = write_days(day_masks(clean), warehouse)
+    valid = write_valid(valid_products(min_days=min_days, days=days), warehouse)
     productos, ventas = split_tables(clean, min_days, valid)
     clear_tables(clean.sparkSession, warehouse)
     insert_ignore(productos, warehouse)
     append_sales(ventas, warehouse)
+    return days
+
 
+def store_audit(days: DataFrame, warehouse: str, min_days: int = MIN_ACTIVE_DAYS) -> None:
+    """What the steps kept and removed, as a table: ``orden, paso, filas``.
 
-def store_audit(raw: DataFrame, clean: DataFrame, warehouse: str,
-                min_days: int = MIN_ACTIVE_DAYS) -> None:
-    """What the steps kept and removed, as a table: ``orden, paso, filas``."""
-    steps = cleaning_audit(raw, clean)
-    split = split_audit(clean, min_days).select(
+    It is summed from the written lines and active days.
+    """
+    counted = days.sparkSession.read.parquet(f"{warehouse}/ventas_limpias")
+    split = split_audit(days, min_days).select(
         (F.col("orden") + 5).alias("orden"), F.col("medida").alias("paso"), "filas")
-    steps.unionByName(split).write.mode("overwrite").parquet(f"{warehouse}/auditoria")
+    cleaning_audit(counted).unionByName(split).write.mode("overwrite").parquet(
+        f"{warehouse}/auditoria")
 
 
 def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN_MONTH_COVERAGE,
@@ -88,25 +92,28 @@ def reload(spark: SparkSession, path: str | Sequence[str], warehouse: str, *, mi
            audit: bool = True) -> None:
     """Load, clean, split, store, train, forecast and store again.
 
-    Leaves in ``warehouse``: ventas_limpias, auditoria, productos, ventas, predicciones,
-    productos_validos, serie_mensual, modelo, metricas and predicciones_ridge. Several files
-    are one data set. Everything is written beside the stored tables first and takes their
-    place at the end, so a job that fails leaves them as they were.
+    Stores ventas_limpias, auditoria, dias_activos, productos, ventas, ultimas_ventas,
+    predicciones, productos_validos, serie_mensual, modelo, metricas and predicciones_ridge.
+    Several files are one data set. All of them are written as a new version of ``warehouse``
+    that nobody reads, and published together at the end: wherever the job fails, readers have
+    all the old tables or all the new ones.
     """
     ensure_checkpoint_dir(spark)  # settings that are missing stop the job before it works
-    aside = f"{warehouse}/_nuevo-{uuid.uuid4().hex}"
+    version = new_version(warehouse)
     try:
         raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
-        clean = store_clean(raw, aside)
+        clean = store_clean(raw, version)
+        days = store_tables(clean, version, min_days)
         if audit:
-            store_audit(raw, clean, aside, min_days)
-        store_tables(clean, aside, min_days)
-        store_forecasts(clean, aside, min_coverage=min_coverage,
+            store_audit(days, version, min_days)
+        store_forecasts(clean, version, min_coverage=min_coverage,
                         placeholder_confidence=placeholder_confidence)
-        for name in list_folder(spark, aside):
-            move_folder(spark, f"{aside}/{name}", f"{warehouse}/{name}")
-    finally:
-        remove_folder(spark, aside)
+        publish(spark, warehouse, version)
+    except BaseException:
+        if current(spark, warehouse) != version:
+            remove_folder(spark, version)
+        raise
+    remove_old(spark, warehouse)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surtido.operators.allocation import allocate, global_rows, product_shares, to_forecast_rows
-from surtido.operators.catalog import split_tables, valid_products
+from surtido.operators.catalog import day_masks, split_tables, valid_products
 from surtido.operators.cleaning import clean_lines, keep_sales, normalize_lines
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import KEY, covered_months, monthly_units
+from surtido.plans.reload import store_clean
 from surtido.schemas import to_stored
 from surtido.session import fresh_folder
-from surtido.sinks import write_series, write_valid
+from surtido.sinks import write_days, write_series, write_valid
 from surtido.sources.invoices import invoice_lines
 
 # Series by country: a country sells on too few days for the coverage of the global series.
@@ -36,12 +37,23 @@ def sold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(productos, ventas) with stored types; copies of lines do not change who is valid."""
-    productos, ventas = split_tables(
-        clean(spark, folder), valid=valid_products(sold(spark, folder)))
+    """(productos, ventas) with stored types.
+
+    The clean lines and the active days are written first, as in the reload, so the raw
+    tables are scanned and cleaned once.
+    """
+    lines, valid = written(spark, folder, fresh_folder(spark))
+    productos, ventas = split_tables(lines, valid=valid)
     return to_stored(productos, "productos"), to_stored(ventas, "ventas")
 
 
+def written(spark: SparkSession, folder: str, warehouse: str) -> tuple[DataFrame, DataFrame]:
+    """(clean lines, valid products), both written to a warehouse."""
+    lines = store_clean(raw(spark, folder), warehouse)
+    days = write_days(day_masks(lines), warehouse)
+    return lines, write_valid(valid_products(days=days), warehouse)
+
+
 def months_of(lines: DataFrame) -> DataFrame:
     return covered_months(monthly_units(lines))
 
@@ -72,9 +84,9 @@ def planned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Dat
     in the reload, and the branches scan rows that are summed already.
     """
     warehouse = fresh_folder(spark)
-    productos, ventas = split_tables(
-        clean(spark, folder), valid=write_valid(valid_products(sold(spark, folder)), warehouse))
-    monthly = write_series(months_of(clean(spark, folder)), warehouse)
+    lines, valid = written(spark, folder, warehouse)
+    productos, ventas = split_tables(lines, valid=valid)
+    monthly = write_series(months_of(lines), warehouse)
     forecast = mean_forecast(monthly)
     score = confidence(error_metrics(mean_fit(monthly))).select("confianza").scalar()
     rows = allocate(forecast, product_shares(ventas), score)

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from surtido.operators import catalog as c
 from surtido.operators.audit import split_audit
-from surtido.registry.base import ACTIVE, CUTOFF, LINES, STORED, clean, plain, sold, sql, stored
+from surtido.registry.base import (
+    ACTIVE, CUTOFF, LINES, STORED, clean, fresh_folder, plain, sold, sql, stored,
+)
+from surtido.sinks import write_days
 
 def _cutoff(lines: DataFrame) -> DataFrame:
     first = lines.agg(F.min("fecha_venta").alias("primera"))
@@ -23,7 +26,7 @@ QUERIES = {
     "catalog_top_price": lambda s, d: plain(stored(s, d)[0]),
     "catalog_top_price_all": lambda s, d: c.top_price_catalog(sold(s, d)),
     "sales_fact": lambda s, d: plain(stored(s, d)[1]),
-    "split_counts": lambda s, d: split_audit(clean(s, d)),
+    "split_counts": lambda s, d: split_audit(write_days(c.day_masks(clean(s, d)), fresh_folder(s))),
 }
 
 ORACLES = {

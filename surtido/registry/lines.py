@@ -15,7 +15,7 @@ RAW_COLUMNS = ('"InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDat
 QUERIES = {
     "invoice_lines": raw,
     "clean_lines": clean,
-    "clean_audit": lambda s, d: cleaning_audit(raw(s, d)),
+    "clean_audit": lambda s, d: cleaning_audit(c.count_copies(raw(s, d))),
     "dataset_report": lambda s, d: dataset_report(raw(s, d)),
     "drop_cancelled": lambda s, d: c.drop_cancelled(raw(s, d)),
     "drop_nonpositive": lambda s, d: c.keep_positive(raw(s, d)),

@@ -33,18 +33,22 @@ from surtido.registry.lines import ORACLES as LINES_ORACLES
 from surtido.registry.model import ORACLES as MODEL_ORACLES, RIDGE_PLAN
 from surtido.registry.serving import ORACLES as SERVING_ORACLES
 from surtido.registry.series import prepared
+from surtido.schemas import to_stored
 from surtido.session import send_to_workers
 from surtido.sinks import (
-    append_sales, clear_tables, dense_key, insert_ignore, missing_products, write_model,
+    append_sales, clear_tables, dense_key, insert_ignore, missing_products, sales_key,
+    write_model,
 )
 from surtido.sources import (
-    load_dataset, read_metrics, read_model, read_recent_sales, read_stored, split_unparseable,
+    load_dataset, read_audit, read_metrics, read_model, read_recent_sales, read_stored, split_unparseable,
     typed,
 )
 from surtido.sources.files import without_missing_tokens
 from surtido.sources.invoices import lines_of, order_tables
 from surtido.sources.workbook import workbook_rows
 from surtido.streaming.landing import watch_landing
+from surtido.streaming.lines import clean_lines_as_they_come, read_clean_lines
+from surtido.versions import current
 
 
 send_to_workers(__name__)
@@ -104,16 +108,19 @@ def _cleared(s, d) -> DataFrame:
 
 
 def _violations(s, d) -> DataFrame:
-    """Checks of three written tables, as after a load without constraints."""
+    """Checks of three written tables with keys, the sales as after a load without checks."""
     folder = fresh_folder(s)
     productos, _, predicciones = planned(s, d)
-    tables = {
-        "productos": productos, "ventas": _unfiltered_facts(s, d), "predicciones": predicciones,
-    }
-    for name, table in tables.items():
-        table.write.parquet(f"{folder}/{name}")
-    return k.validate_constraints(*[
-        s.read.schema(table.schema).parquet(f"{folder}/{name}") for name, table in tables.items()])
+    clear_tables(s, folder)
+    productos.write.mode("overwrite").parquet(f"{folder}/productos")
+    order = [F.asc_nulls_first("id_producto"), "fecha_prediccion"]
+    to_stored(dense_key(predicciones, "id_prediccion", order), "predicciones").write.mode(
+        "overwrite").parquet(f"{folder}/predicciones")
+    facts = _unfiltered_facts(s, d).select(sales_key(), "*")
+    facts.write.parquet(f"{folder}/hechos")
+    ventas = s.read.schema(facts.schema).parquet(f"{folder}/hechos")
+    return k.validate_constraints(read_stored(s, folder, "productos"), ventas,
+                                  read_stored(s, folder, "predicciones"))
 
 
 def _broken(s, d) -> DataFrame:
@@ -250,12 +257,11 @@ def _xlsx(s, d) -> DataFrame:
     return typed(without_missing_tokens(workbook_rows(books, lines.columns)))
 
 
-def _clean_stream(s, d) -> DataFrame:
-    """Lines that arrive in three parts, the newest dates first, cleaned and appended.
+def _arrivals(s, d, folder: str):
+    """Lines that arrive in three parts, the newest dates first: a stream after each part.
 
     The last part repeats invoices of the others, so copies lie in different micro-batches.
     """
-    folder = fresh_folder(s)
     lines = raw(s, d)
     cuts = lines.agg(F.percentile_approx(F.col("InvoiceDate").cast("timestamp").cast("long"),
                                          F.lit([0.33, 0.66]))).scalar()
@@ -264,13 +270,27 @@ def _clean_stream(s, d) -> DataFrame:
              lines.where((day < cuts[0]) | F.col("InvoiceNo").endswith("3")))
     for part in parts:
         part.write.mode("append").parquet(f"{folder}/llegadas")
-        arriving = s.readStream.schema(lines.schema).parquet(f"{folder}/llegadas")
+        yield s.readStream.schema(lines.schema).parquet(f"{folder}/llegadas")
+
+
+def _clean_stream(s, d) -> DataFrame:
+    """The lines cleaned as they arrive, within the watermark, and appended."""
+    folder = fresh_folder(s)
+    for arriving in _arrivals(s, d, folder):
         (clean_stream(arriving).writeStream.format("parquet").option("path", f"{folder}/lineas")
          .option("checkpointLocation", f"{folder}/estado")
          .trigger(availableNow=True).start().awaitTermination())
     return s.read.parquet(f"{folder}/lineas")
 
 
+def _clean_exactly(s, d) -> DataFrame:
+    """The lines cleaned as they arrive, against the stored index of all lines before them."""
+    folder = fresh_folder(s)
+    for arriving in _arrivals(s, d, folder):
+        clean_lines_as_they_come(arriving, folder, f"{folder}/estado", merged=2).awaitTermination()
+    return read_clean_lines(s, folder)
+
+
 def _file_drop(s, d) -> DataFrame:
     """Key figures of the tables reloaded from the line items that arrived."""
     folder = fresh_folder(s)
@@ -325,7 +345,7 @@ def _reload_forecast(s, d) -> DataFrame:
     """The forecast file of the whole job."""
     months = s.read.option("header", True).schema(
         "series_key string, fecha date, ventas_reales double, ventas_predichas double").csv(
-        f"{_whole_job(s, d)}/predicciones_ridge")
+        f"{current(s, _whole_job(s, d))}/predicciones_ridge")
     return rounded(months, "ventas_reales", "ventas_predichas", digits=4)
 
 
@@ -334,7 +354,7 @@ def _reload_metrics(s, d) -> DataFrame:
 
 
 def _reload_audit(s, d) -> DataFrame:
-    return s.read.parquet(f"{_whole_job(s, d)}/auditoria")
+    return read_audit(s, _whole_job(s, d))
 
 
 def _reload_plan(s, d) -> DataFrame:
@@ -365,6 +385,7 @@ QUERIES = {
     "lenient_load": _lenient,
     "xlsx_scan": _xlsx,
     "clean_stream": _clean_stream,
+    "clean_stream_exact": _clean_exactly,
     "file_drop_stream": _file_drop,
     "stored_sales_last_30d": _stored_recent,
     "stored_monthly_last_year": _stored_months,
@@ -395,9 +416,10 @@ _ZERO_RULES = (
                    "id_producto primary key")),
     ("ventas", ("fecha_venta not null", "unidades_vendidas not null", "total_venta not null",
                 "total_venta decimal(10,2)", "id_venta_original varchar(20)",
-                "id_producto varchar(20)")),
+                "id_producto varchar(20)", "id_venta primary key")),
     ("predicciones", ("fecha_prediccion not null", "confianza_modelo decimal(5,4)",
-                      "id_producto varchar(20)", "id_producto references productos")),
+                      "id_producto varchar(20)", "id_producto references productos",
+                      "id_prediccion primary key")),
 )
 
 _HOLDS = " UNION ALL ".join(
@@ -463,6 +485,7 @@ ORACLES = {
         FROM raw"""),
     "xlsx_scan": sql(LINES, "SELECT * FROM raw"),
     "clean_stream": sql(LINES, "SELECT * FROM clean"),
+    "clean_stream_exact": sql(LINES, "SELECT * FROM clean"),
     "load_checks": """
         SELECT * FROM (VALUES
             ('whole', (SELECT CAST(count(*) AS VARCHAR) FROM ({rows}))),

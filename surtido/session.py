@@ -83,17 +83,47 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 
 
 def list_folder(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder."""
+    """Names in a folder, in order; none where there is no such folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
     return sorted(status.getPath().getName() for status in system.listStatus(path))
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> None:
-    """Put a written folder in the place of another, which is deleted."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    start, end = hadoop.Path(source), hadoop.Path(target)
-    system = end.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(end, True)
-    if not system.rename(start, end):
-        raise OSError(f"could not move {source} to {target}")
+def read_text(spark: SparkSession, file: str) -> str:
+    """The content of a small file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new_text(spark: SparkSession, file: str, text: str) -> None:
+    """Write a small file that must not exist yet; others see all of it or nothing.
+
+    The text is written aside and renamed, which the file system refuses where the name is taken.
+    """
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(file)
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    system = target.getFileSystem(settings)
+    try:
+        stream = system.create(aside)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        rename_new(spark, aside, target)
+    finally:
+        system.delete(aside, False)
+
+
+def rename_new(spark: SparkSession, source, target) -> None:
+    """Rename a file; fails if the target exists."""
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(
+        getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(source), context.makeQualified(target), options)

@@ -28,6 +28,11 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_days(days: DataFrame, warehouse: str) -> DataFrame:
+    """Active days per product and month as bits; returns the written table."""
+    return _written(days, f"{warehouse}/dias_activos")
+
+
 def write_valid(valid: DataFrame, warehouse: str) -> DataFrame:
     """Valid products as a table of their own; returns the written table."""
     return _written(valid, f"{warehouse}/productos_validos")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from surtido.constants import INSERT_BATCH
@@ -43,6 +43,11 @@ def insert_ignore(productos: DataFrame, warehouse: str) -> None:
     new.write.mode("append").parquet(path)
 
 
+def sales_key() -> Column:
+    """A key above 0 that tells the rows of one writing pass apart; not dense."""
+    return (F.monotonically_increasing_id() + 1).alias("id_venta")
+
+
 def append_sales(ventas: DataFrame, warehouse: str) -> None:
     """Append sales to the emptied table, each with a key of its own, in one pass.
 
@@ -55,7 +60,7 @@ def append_sales(ventas: DataFrame, warehouse: str) -> None:
     order = ["mes", "id_producto", "fecha_venta"]
     rows = to_stored(ventas, "ventas").withColumn("mes", month_start(F.col("fecha_venta")))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    keyed = rows.select((F.monotonically_increasing_id() + 1).alias("id_venta"), "*")
+    keyed = rows.select(sales_key(), "*")
     keyed.write.mode("append").partitionBy("mes").parquet(f"{warehouse}/ventas")
     stored = ventas.sparkSession.read.schema(SALES).parquet(f"{warehouse}/ventas")
     newest = stored.groupBy("id_producto").agg(F.max("fecha_venta").alias("ultima"))

@@ -6,17 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surtido.functions import month_start
+from surtido.operators.cleaning import COPIES, STEP
 from surtido.schemas import SALES, STORED
+from surtido.versions import current
+
+# The readers open the version of the tables that holds when they are called. Several tables
+# that must fit together are read from one ``current`` folder.
 
 
 def read_clean(spark: SparkSession, warehouse: str) -> DataFrame:
-    return spark.read.parquet(f"{warehouse}/ventas_limpias")
+    """The clean lines, without the rows that only count what cleaning removed."""
+    lines = spark.read.parquet(f"{current(spark, warehouse)}/ventas_limpias")
+    if STEP not in lines.columns:
+        return lines
+    return lines.where(F.col(STEP) == 0).drop(STEP, COPIES)
+
+
+def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:
+    return spark.read.parquet(f"{current(spark, warehouse)}/auditoria")
 
 
 def read_stored(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """A stored table. The schema is given, so no file is opened to plan the scan."""
     schema = SALES if table == "ventas" else STORED[table]
-    stored = spark.read.schema(schema).parquet(f"{warehouse}/{table}")
+    stored = spark.read.schema(schema).parquet(f"{current(spark, warehouse)}/{table}")
     return stored.select(*STORED[table].names)
 
 
@@ -26,19 +39,20 @@ def read_recent_sales(spark: SparkSession, warehouse: str, days: int = 0,
 
     The oldest newest sale of a product tells where to begin; older months are not opened.
     """
+    folder = current(spark, warehouse)
     newest = spark.read.schema("id_producto string, ultima date").parquet(
-        f"{warehouse}/ultimas_ventas")
+        f"{folder}/ultimas_ventas")
     first = month_start(F.add_months(F.date_sub(F.min("ultima"), days), -months))
-    sales = spark.read.schema(SALES).parquet(f"{warehouse}/ventas")
+    sales = spark.read.schema(SALES).parquet(f"{folder}/ventas")
     return sales.where(F.col("mes") >= newest.agg(first).scalar()).select(*STORED["ventas"].names)
 
 
 def read_model(spark: SparkSession, warehouse: str) -> DataFrame:
-    return spark.read.parquet(f"{warehouse}/modelo")
+    return spark.read.parquet(f"{current(spark, warehouse)}/modelo")
 
 
 def read_metrics(spark: SparkSession, warehouse: str) -> DataFrame:
-    return spark.read.parquet(f"{warehouse}/metricas")
+    return spark.read.parquet(f"{current(spark, warehouse)}/metricas")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

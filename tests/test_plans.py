@@ -100,14 +100,42 @@ def test_every_product_is_listed(spark):
     assert serving.product_list(rows).count() == serving.product_labels(rows).count() == 1200
 
 
-def test_valid_products_scan_their_lines_once(spark):
-    from surtido.registry.base import sold
+@pytest.fixture
+def plain_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan(valid_products(sold(spark, "/root/testdata/sf0.001")))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "ReusedExchange" in text
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def scans(df, column):
+    """Scans that read a column, in the plan and its subqueries."""
+    return len(re.findall(rf"FileScan parquet [^\n]*\b{column}\b[^\n]*ReadSchema", plan(df)))
+
+
+def test_valid_products_scan_their_lines_once(spark, plain_plans):
+    from surtido.registry.base import sold
+    assert "ReusedExchange" in plan(valid_products(sold(spark, "/root/testdata/sf0.001")))
+
+
+@pytest.mark.parametrize("name", ["kpis", "sales_fact", "sales_last_30d_all", "investment"])
+def test_raw_lines_are_scanned_once_and_written(spark, plain_plans, name):
+    from surtido.registry import QUERIES
+    assert scans(QUERIES[name](spark, "/root/testdata/sf0.001"), "l_orderkey") == 0
+
+
+def test_audits_scan_once(spark, plain_plans):
+    from surtido.registry import QUERIES
+    assert scans(QUERIES["clean_audit"](spark, "/root/testdata/sf0.001"), "l_orderkey") == 1
+
+
+def test_constraints_of_facts_take_one_scan(spark, tmp_path, plain_plans):
+    from surtido.operators.constraints import validate_constraints
+    from surtido.sources import read_stored
+    clear_tables(spark, str(tmp_path))
+    checked = validate_constraints(*[read_stored(spark, str(tmp_path), t)
+                                     for t in ("productos", "ventas", "predicciones")])
+    assert scans(checked, "fecha_venta") == scans(checked, "fecha_prediccion") == 1
+    assert "id_venta primary key" in {r.restriccion for r in checked.collect()}
 
 
 @pytest.mark.parametrize("name", ["backtest_rows", "backtest_metrics", "forecast_next_year",

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 import time
 from decimal import Decimal
 
@@ -16,8 +17,10 @@ from surtido.session import ensure_checkpoint_dir
 from surtido.sinks import (
     append_forecasts, append_sales, clear_tables, dense_key, insert_ignore, write_clean, write_jdbc,
 )
-from surtido.sources import read_clean, read_metrics, read_model, read_stored
+from surtido import session, versions
+from surtido.sources import read_audit, read_clean, read_metrics, read_model, read_stored
 from surtido.streaming.landing import arrivals, watch_landing
+from surtido.versions import current
 
 DAY = dt.date(2011, 1, 1)
 
@@ -166,12 +169,12 @@ def test_reload_end_to_end(spark, tmp_path):
     r2 = read_metrics(spark, folder).first().r2
     assert float(forecasts.first().confianza_modelo) == pytest.approx(min(1, max(0, r2)), abs=1e-4)
     assert read_model(spark, folder).count() == 1
-    audit = spark.read.parquet(f"{folder}/auditoria").orderBy("orden").collect()
+    audit = read_audit(spark, folder).orderBy("orden").collect()
     assert [(r.paso, r.filas) for r in audit][:5] == [
         ("inicio", 53 * 24), ("sin_cancelaciones", 52 * 24), ("cantidad_positiva", 52 * 24),
         ("precio_positivo", 52 * 24), ("sin_duplicados", 52 * 24)]
     assert [r.filas for r in audit][5:] == [0, 2, 52 * 24, 52 * 24]
-    months = spark.read.option("header", True).csv(f"{folder}/predicciones_ridge")
+    months = spark.read.option("header", True).csv(f"{current(spark, folder)}/predicciones_ridge")
     assert months.count() == 12 and "ventas_reales" in months.columns
     violations = k.validate_constraints(
         read_stored(spark, folder, "productos"), read_stored(spark, folder, "ventas"), forecasts)
@@ -196,7 +199,119 @@ def test_a_failed_reload_leaves_the_stored_tables(spark, tmp_path, monkeypatch):
         job.reload(spark, source, folder)
     assert units(spark, folder) == before
     assert read_clean(spark, folder).count() == 2 * 26 * 24
-    assert not [n for n in os.listdir(folder) if n.startswith("_nuevo")]
+    assert len(os.listdir(f"{folder}/_versiones")) == 1
+
+
+def test_a_reload_is_published_at_once(spark, tmp_path, monkeypatch):
+    """Whatever file operation fails, readers find all the old tables or all the new ones."""
+    folder = str(tmp_path / "out")
+    sources = [str(tmp_path / f"lines_{k}.csv") for k in range(2)]
+    for source, amount in zip(sources, (10, 30)):
+        invoice_file(source, amount, months=16)
+
+    def found():
+        return (units(spark, folder), read_clean(spark, folder).agg(F.sum(
+            "unidades_vendidas")).first()[0], read_audit(spark, folder).count(),
+            read_stored(spark, folder, "predicciones").agg(F.sum("unidades_predichas")).first()[0])
+
+    for source in sources:
+        job.reload(spark, source, folder)
+    new = found()
+    job.reload(spark, sources[0], folder)
+    old = found()
+    assert old[0] != new[0] and old[3] != new[3]
+
+    # Only the publication is tried again and again; the tables are written once a trial.
+    made = current(spark, folder)
+    monkeypatch.setattr(job, "load_dataset", lambda *a, **o: None)
+    monkeypatch.setattr(job, "store_clean", lambda raw, version: version)
+    monkeypatch.setattr(job, "store_tables", lambda clean, version, days: shutil.copytree(
+        prepared, version))
+    monkeypatch.setattr(job, "store_audit", lambda *a: None)
+    monkeypatch.setattr(job, "store_forecasts", lambda *a, **o: None)
+    prepared = str(tmp_path / "prepared")
+    older = sorted(os.listdir(f"{folder}/_versiones"))
+    shutil.copytree(next(f"{folder}/_versiones/{n}" for n in older if not made.endswith(n)),
+                    prepared)
+    calls = [0]
+
+    def failing(name, module, at):
+        whole = getattr(module, name)
+
+        def tried(*args):
+            calls[0] += 1
+            if calls[0] == at:
+                raise RuntimeError("lost")
+            result = whole(*args)
+            calls[0] += 1
+            if calls[0] == at:  # done, but the caller does not learn of it
+                raise RuntimeError("lost after it was done")
+            return result
+
+        monkeypatch.setattr(module, name, tried)
+
+    outcomes = []
+    for at in range(1, 40):
+        with monkeypatch.context() as patch:
+            monkeypatch, outer = patch, monkeypatch
+            calls[0] = 0
+            for module, name in ((session, "rename_new"), (versions, "put_new_text"),
+                                 (versions, "remove_folder"), (versions, "read_text")):
+                failing(name, module, at)
+            try:
+                job.reload(spark, "", folder)
+                done = True
+            except RuntimeError:
+                done = False
+            monkeypatch = outer
+        outcomes.append(found())
+        assert outcomes[-1] in (old, new)
+        if done:
+            break
+    assert done and outcomes[-1] == new and len(set(outcomes)) >= 1
+    assert any(o == old for o in outcomes)
+    assert len(os.listdir(f"{folder}/_publicadas")) <= 2 + 2 * len(outcomes)
+
+
+def test_a_reload_keeps_two_versions_and_reads_its_input_once(spark, raw_lines, tmp_path,
+                                                              monkeypatch):
+    folder, rows = str(tmp_path / "out"), spark.sparkContext.accumulator(0)
+    lines = raw_lines(*[{"InvoiceNo": f"{'C' if i % 9 == 0 else ''}{i % 50}", "Quantity": i % 7,
+                         "UnitPrice": float(i % 5)} for i in range(500)])
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(job, "load_dataset", lambda *a, **o: lines.mapInPandas(
+        counted, lines.schema))
+    monkeypatch.setattr(job, "store_forecasts", lambda *a, **o: None)
+    job.reload(spark, "", folder)
+    assert rows.value == 500
+    audit = {r.paso: r.filas for r in read_audit(spark, folder).collect()}
+    kept = [r for r in lines.collect() if not r.InvoiceNo.startswith("C")]
+    some = [r for r in kept if r.Quantity > 0]
+    priced = [r for r in some if r.UnitPrice > 0]
+    assert list(audit.values())[:5] == [500, len(kept), len(some), len(priced), len(set(priced))]
+    assert read_clean(spark, folder).columns == clean_lines(lines).columns
+    assert sorted(map(str, read_clean(spark, folder).collect())) == sorted(
+        map(str, clean_lines(lines).collect()))
+    for _ in range(3):
+        job.reload(spark, "", folder)
+    assert len(os.listdir(f"{folder}/_versiones")) == 2
+
+
+def test_two_jobs_cannot_publish_the_same_number(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    versions.publish(spark, folder, versions.new_version(folder))
+    first = current(spark, folder)
+    monkeypatch.setattr(versions, "publications", lambda *a: [])
+    with pytest.raises(Exception, match="FileAlreadyExists|already exists"):
+        versions.publish(spark, folder, versions.new_version(folder))
+    monkeypatch.undo()
+    assert current(spark, folder) == first and not [
+        n for n in os.listdir(f"{folder}/_publicadas") if n.startswith(".") and "crc" not in n]
 
 
 def test_units_beyond_four_bytes(spark, tmp_path):
