@@ -75,17 +75,17 @@ def recent_sales(ventas: DataFrame, product: str | None = None,
 
 
 def recent_sales_sql(ventas: DataFrame, product: str, days: int = RECENT_DAYS) -> DataFrame:
-    """The one-product form for SQL clients: parameters and a correlated maximum in one text.
+    """:func:`recent_sales` of one product as SQL text with parameters, for SQL clients.
 
-    :func:`recent_sales` gives the same rows from one scan and is what the library uses.
+    The product's newest day is a window over its daily totals, so the sales are scanned once.
     """
     query = """
-        SELECT id_producto, fecha_venta, sum(unidades_vendidas) AS unidades
-        FROM {ventas}
-        WHERE id_producto = :product
-          AND fecha_venta >= (SELECT date_sub(max(fecha_venta), :days)
-                              FROM {ventas} WHERE id_producto = :product)
-        GROUP BY id_producto, fecha_venta
+        WITH diario AS (
+            SELECT id_producto, fecha_venta, sum(unidades_vendidas) AS unidades,
+                max(fecha_venta) OVER (PARTITION BY id_producto) AS ultima
+            FROM {ventas} WHERE id_producto = :product GROUP BY ALL)
+        SELECT id_producto, fecha_venta, unidades FROM diario
+        WHERE datediff(ultima, fecha_venta) <= :days
     """
     return ventas.sparkSession.sql(query, args={"product": product, "days": days}, ventas=ventas)
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surtido.constants import MIN_ACTIVE_DAYS, MIN_MONTH_COVERAGE
+from surtido.constants import DATE_FORMATS, MIN_ACTIVE_DAYS, MIN_MONTH_COVERAGE
 from surtido.operators.allocation import allocate, global_rows, product_shares
 from surtido.operators.audit import cleaning_audit, split_audit
 from surtido.operators.catalog import day_masks, split_tables, valid_products
@@ -89,7 +89,7 @@ def store_forecasts(clean: DataFrame, warehouse: str, *, min_coverage: int = MIN
 def reload(spark: SparkSession, path: str | Sequence[str], warehouse: str, *, min_days: int = MIN_ACTIVE_DAYS,
            min_coverage: int = MIN_MONTH_COVERAGE, placeholder_confidence: bool = False,
            multi_line: bool = False, file_format: str | None = None,
-           audit: bool = True) -> None:
+           infer_dates: bool = False, audit: bool = True) -> None:
     """Load, clean, split, store, train, forecast and store again.
 
     Stores ventas_limpias, auditoria, dias_activos, productos, ventas, ultimas_ventas,
@@ -101,7 +101,8 @@ def reload(spark: SparkSession, path: str | Sequence[str], warehouse: str, *, mi
     ensure_checkpoint_dir(spark)  # settings that are missing stop the job before it works
     version = new_version(warehouse)
     try:
-        raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format)
+        raw = load_dataset(spark, path, multi_line=multi_line, file_format=file_format,
+                           formats=None if infer_dates else DATE_FORMATS)
         clean = store_clean(raw, version)
         days = store_tables(clean, version, min_days)
         if audit:
@@ -123,13 +124,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--format", help="format of a folder whose name has no extension")
     parser.add_argument("--multi-line", action="store_true",
                         help="the CSV has line breaks inside quotes")
+    parser.add_argument("--infer-dates", action="store_true",
+                        help="infer the formats of date texts from all of them")
     options = parser.parse_args(arguments)
     builder = SparkSession.builder.appName("surtido-reload")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     reload(spark, options.input, options.warehouse, multi_line=options.multi_line,
-           file_format=options.format)
+           file_format=options.format, infer_dates=options.infer_dates)
 
 
 if __name__ == "__main__":

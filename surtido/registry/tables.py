@@ -493,7 +493,8 @@ ORACLES = {
             ('no file', 'missing file: none.csv'),
             ('columns', 'missing required columns: StockCode, UnitPrice'),
             ('other order', (SELECT CAST(count(*) AS VARCHAR) FROM ({rows}))),
-            ('two orders', 'stopped')) c(caso, resultado)""".format(
+            ('two orders', (SELECT CAST(2 * count(*) AS VARCHAR) FROM ({rows})))
+            ) c(caso, resultado)""".format(
         rows=sql(LINES, "SELECT 1 FROM raw")),
     "reload_forecast": MODEL_ORACLES["forecast_next_year"],
     "reload_metrics": MODEL_ORACLES["backtest_metrics"],

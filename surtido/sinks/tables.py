@@ -12,6 +12,13 @@ from surtido.schemas import SALES, STORED, to_stored
 from surtido.sinks.keys import dense_key
 
 
+# Parquet's filter of the values of a column, sized for the products of a file.
+PRODUCT_FILTER = {
+    "parquet.bloom.filter.enabled#id_producto": "true",
+    "parquet.bloom.filter.expected.ndv#id_producto": "20000",
+}
+
+
 def clear_tables(spark: SparkSession, warehouse: str) -> None:
     """Create the stored tables where they are missing and empty them, facts first."""
     for table in ("predicciones", "productos"):
@@ -54,14 +61,16 @@ def append_sales(ventas: DataFrame, warehouse: str) -> None:
     A key tells rows apart; it is above 0 and need not be dense, so no row is written twice
     to be counted. The table has a folder per month, and a file holds a range of products:
     reads of recent days skip old months, reads of one product skip most files. A product
-    that holds much of a month is split over files by its days. The newest sale of every
+    that holds much of a month is split over files by its days. A Bloom filter of the products
+    of every row group skips files whose range holds the product, but which lack it. The newest sale of every
     product is stored beside, so that a read knows the oldest month it needs.
     """
     order = ["mes", "id_producto", "fecha_venta"]
     rows = to_stored(ventas, "ventas").withColumn("mes", month_start(F.col("fecha_venta")))
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     keyed = rows.select(sales_key(), "*")
-    keyed.write.mode("append").partitionBy("mes").parquet(f"{warehouse}/ventas")
+    keyed.write.mode("append").partitionBy("mes").options(**PRODUCT_FILTER).parquet(
+        f"{warehouse}/ventas")
     stored = ventas.sparkSession.read.schema(SALES).parquet(f"{warehouse}/ventas")
     newest = stored.groupBy("id_producto").agg(F.max("fecha_venta").alias("ultima"))
     newest.write.mode("overwrite").parquet(f"{warehouse}/ultimas_ventas")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,34 +13,70 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surtido.constants import DATE_FORMATS, REQUIRED_COLUMNS
+from surtido.operators.dates import infer_formats
 from surtido.functions import nan_to_null, parse_timestamp, with_missing_as_null
 from surtido.sources.workbook import read_workbooks
 
 
-def _read_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
+# Headers read at a time.
+HEADER_READERS = 16
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file, compressed or not; the rest is not read."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(settings).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+        stream if codec is None else codec.createInputStream(stream), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The files under some paths by their first line; empty files are left out.
+
+    Spark lists the files, as for any scan, and does not open them for that.
+    """
+    files = [r["path"] for r in spark.read.format("binaryFile").load(list(paths)).select(
+        "path").collect()]
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = pool.map(lambda file: _first_line(spark, file), files)
+        groups: dict[str, list[str]] = {}
+        for file, line in sorted(zip(files, lines)):
+            if line is not None:
+                groups.setdefault(line, []).append(file)
+    return groups
+
+
+def _read_csv(spark: SparkSession, paths: list[str], multi_line: bool) -> list[DataFrame]:
     # FAILFAST: a record broken over lines would otherwise turn into nulls and be
     # filtered out without a word. multi_line reads such files, but no longer splits them.
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
-        # Every file's header is compared with the columns; one in another order stops the
-        # job instead of being read by position.
+        # A scan takes its columns by position, so files of one header share a scan; a file
+        # that does not have it after all stops the job.
         .option("enforceSchema", False)
-        .csv(paths)
     )
-    return without_missing_tokens(raw)
+    groups = files_by_header(spark, paths)
+    scans = list(groups.values()) if len(groups) > 1 else [paths]
+    return [without_missing_tokens(reader.csv(files)) for files in scans]
 
 
-def _read_xlsx(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
-    return without_missing_tokens(read_workbooks(spark, paths))
+def _read_xlsx(spark: SparkSession, paths: list[str], multi_line: bool) -> list[DataFrame]:
+    return [without_missing_tokens(read_workbooks(spark, paths))]
 
 
-def _read_parquet(spark: SparkSession, paths: list[str], multi_line: bool) -> DataFrame:
-    return spark.read.parquet(*paths)
+def _read_parquet(spark: SparkSession, paths: list[str], multi_line: bool) -> list[DataFrame]:
+    return [spark.read.parquet(*paths)]
 
 
 READERS = {".csv": _read_csv, ".xlsx": _read_xlsx, ".parquet": _read_parquet}
@@ -55,11 +92,13 @@ def _named(name: str) -> Column:
 
 def load_dataset(spark: SparkSession, path: str | Sequence[str], *, strict: bool = True,
                  multi_line: bool = False, file_format: str | None = None,
-                 formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+                 formats: Sequence[str] | None = DATE_FORMATS) -> DataFrame:
     """Invoice lines of files or folders, with checked columns and types, as one data set.
 
     The extension chooses the reader; ``file_format`` names it for a folder whose name
-    has none. ``formats`` are the patterns of date texts, tried in their order after ISO.
+    has none. Columns are matched by name, also between CSV files of different column order.
+    ``formats`` are the patterns of date texts, tried in their order after ISO; with None they
+    are inferred from the shapes of all texts, which takes one more pass over the file.
     """
     by_format: dict[str, list[str]] = {}
     for one in [path] if isinstance(path, str) else path:
@@ -69,19 +108,29 @@ def load_dataset(spark: SparkSession, path: str | Sequence[str], *, strict: bool
         by_format.setdefault(extension.lower(), []).append(one)
     if not by_format:
         raise ValueError("no file to load")
-    parts = []
+    parts: list[DataFrame] = []
     for extension, paths in by_format.items():
         try:
-            raw = READERS[extension](spark, paths, multi_line)
+            scans = READERS[extension](spark, paths, multi_line)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 raise FileNotFoundError(", ".join(paths)) from error
             raise
-        validate_columns(raw)
-        parts.append(typed(raw, strict=strict, formats=formats))
+        for raw in scans:
+            validate_columns(raw)
+        patterns = _formats(scans, formats)
+        parts += [typed(raw, strict=strict, formats=patterns) for raw in scans]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _formats(scans: list[DataFrame], formats: Sequence[str] | None) -> Sequence[str]:
+    if formats is not None:
+        return formats
+    texts = [s.select("InvoiceDate") for s in scans if "InvoiceDate" in s.columns and isinstance(
+        s.schema["InvoiceDate"].dataType, T.StringType)]
+    return infer_formats(reduce(DataFrame.unionByName, texts), "InvoiceDate").formats if texts else ()
+
+
 def validate_columns(df: DataFrame) -> None:
     """Raise with the list of required columns that are missing (case-sensitive)."""
     missing = [c for c in REQUIRED_COLUMNS if c not in set(df.columns)]

@@ -73,6 +73,25 @@ def test_one_product_is_pushed_to_the_scan(spark, tmp_path):
     assert columns == "id_producto:string,fecha_venta:date,unidades_vendidas:int"
 
 
+def test_row_groups_without_the_product_are_not_read(spark, clean_sales, tmp_path, plain_plans):
+    from surtido.sinks import append_sales
+    folder = str(tmp_path)
+    clear_tables(spark, folder)
+    append_sales(clean_sales(*[(p, f"2010-03-{d:02d}", 1) for p in ("A", "C", "E")
+                               for d in range(1, 28)]).coalesce(1), folder)
+
+    def rows_read(product):
+        found = read_stored(spark, folder, "ventas").where(f"id_producto = '{product}'")
+        physical = found._jdf.queryExecution().executedPlan()
+        n = physical.executeCollect().__len__()
+        while physical.children().size():
+            physical = physical.children().head()
+        return n, physical.metrics().apply("numOutputRows").value()
+
+    assert rows_read("C")[0] == 27
+    assert rows_read("D") == (0, 0)  # within the files' ranges of products
+
+
 def test_recent_sales_read_recent_months_only(spark, clean_sales, tmp_path):
     from surtido.sinks import append_sales
     from surtido.sources import read_recent_sales

@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import os
 
 import pandas as pd
@@ -6,8 +7,11 @@ import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from surtido.operators.dates import date_shapes, infer_formats
 from surtido.registry.tables import workbook
 from surtido.sources import load_dataset, split_unparseable, validate_columns
+from surtido.sources.files import files_by_header
+from surtido.sources.tables import bounds_query, range_predicates
 from surtido.sources.workbook import sheet_rows
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -70,15 +74,57 @@ def test_extension_case_and_folders(spark, tmp_path):
     assert load_dataset(spark, str(tmp_path), file_format="csv").count() == 1
 
 
-def test_files_with_other_column_orders_stop_the_load(spark, tmp_path):
+def test_files_of_one_upload_may_order_their_columns_differently(spark, tmp_path):
     write(tmp_path, "1,a,b,5,2010-12-01,2,1,UK\n", "a.csv")
-    with open(tmp_path / "b.csv", "w", encoding="utf-8") as file:
-        file.write(HEADER.replace("Quantity", "x").replace("UnitPrice", "Quantity").replace(
-            "x,", "UnitPrice,") + "1,a,b,2.0,2010-12-01,5,1,UK\n")
-    with pytest.raises((PySparkException, Py4JJavaError)):
-        load_dataset(spark, str(tmp_path), file_format="csv").collect()
-    one = load_dataset(spark, str(tmp_path / "b.csv")).first()
-    assert (one.Quantity, one.UnitPrice) == (5, 2.0)
+    write(tmp_path, "2,a,b,6,2010-12-01,2,1,UK\n", "c.csv")
+    (tmp_path / "empty.csv").write_text("")
+    other = HEADER.replace("Quantity", "x").replace("UnitPrice", "Quantity").replace(
+        "x,", "UnitPrice,").replace("CustomerID,", "")
+    with gzip.open(tmp_path / "b.csv.gz", "wt", encoding="utf-8") as file:
+        file.write(other + "3,a,b,2.0,2010-12-01,7,UK\n")
+    rows = load_dataset(spark, str(tmp_path), file_format="csv")
+    got = sorted((r.InvoiceNo, r.Quantity, r.UnitPrice, r.CustomerID) for r in rows.collect())
+    assert got == [("1", 5, 2.0, 1.0), ("2", 6, 2.0, 1.0), ("3", 7, 2.0, None)]
+    assert sorted(map(len, files_by_header(spark, [str(tmp_path)]).values())) == [1, 2]
+    (tmp_path / "d.csv").write_text("InvoiceNo,StockCode\n1,a\n")
+    with pytest.raises(ValueError, match="missing required columns"):
+        load_dataset(spark, str(tmp_path), file_format="csv")
+
+
+def inferred(spark, *texts):
+    return infer_formats(spark.createDataFrame([(t,) for t in texts], "`a.b` string"), "a.b")
+
+
+def test_date_formats_are_inferred_from_all_texts(spark, tmp_path):
+    found = inferred(spark, "3/4/2011", "25/12/2010 8:26", "1/2/2011 08:26", None)
+    assert set(found.formats) == {"d/M/yyyy", "d/M/yyyy H:mm"}
+    assert (found.ambiguous, found.contradictory, found.unread) == (0, 0, 0)
+    found = inferred(spark, "3/4/2011", "12/25/2010")
+    assert found.formats == ("M/d/yyyy",) and found.ambiguous == 0
+    found = inferred(spark, "3/4/2011", "2010-12-25", "")
+    assert found.formats == ("M/d/yyyy",) and found.ambiguous == 1 and found.unread == 0
+    found = inferred(spark, "13/4/2011", "4/13/2011", "the first", "the first", "x" * 99)
+    assert found.contradictory == 2 and found.unread == 3 and found.examples[0] == "the first"
+    found = inferred(spark, "1 December 2010", "Dec 1, 2010 9:05 PM", "2010.12.1", "1.12.10")
+    assert set(found.formats) == {"d MMMM yyyy", "MMM d, yyyy h:mm a", "yyyy.M.d", "M.d.yy"}
+    assert inferred(spark).formats == () == inferred(spark, None).formats
+
+    texts = ("25. 12. 2010", "24. 12. 2010")
+    path = write(tmp_path, "".join(f"1,a,b,{i + 1},{t},1,1,UK\n" for i, t in enumerate(texts)))
+    with pytest.raises(PySparkException):
+        load_dataset(spark, path).collect()
+    days = [r.InvoiceDate for r in load_dataset(spark, path, formats=None).orderBy(
+        "Quantity").collect()]
+    assert days == [dt.datetime(2010, 12, 25), dt.datetime(2010, 12, 24)]
+
+
+@pytest.mark.parametrize("pattern, text", [
+    ("%d/%m/%Y", "9/9/Y"), ("%d-%b-%Y %H:%M:%S", "9-a-Y 9:9:9"), ("%B %d, %Y", "aa 9, Y"),
+    ("%Y%m%d", "D"), ("%Y-%m-%dT%H:%M:%S", "Y-9-9a9:9:9")])
+def test_shapes(spark, pattern, text):
+    day = dt.datetime(2010, 11, 25, 8, 26, 5).strftime(pattern)
+    shapes = date_shapes(spark.createDataFrame([(f" {day} ",)] * 3, "d string"), "d").collect()
+    assert [(r.forma, r.filas) for r in shapes] == [(text, 3)]
 
 
 @pytest.mark.parametrize("text", ["2010/12/01 08:26", "01-Dec-2010 08:26", "12/1/2010 8:26"])
@@ -141,3 +187,31 @@ def test_sheet_rows_reads_shared_texts_and_cell_places():
         for name, text in parts.items():
             book.writestr(name, text)
     assert list(sheet_rows(buffer.getvalue())) == [["one", None, "two"], [None, None, "1.5"]]
+
+
+def matches(predicate, value):
+    text = predicate.replace("k IS NULL", str(value is None)).replace("OR", "or").replace("AND", "and")
+    if value is None:
+        return "True" in text
+    return bool(eval(text.replace("k ", f"{value!r} ")))
+
+
+@pytest.mark.parametrize("cuts", [[], [None], [5], [1, 2, 3], [3, 3, 9], [9, 3, None, 3]])
+def test_every_row_of_a_database_is_read_once(cuts):
+    predicates = range_predicates("k", cuts)
+    assert len(predicates) == len({c for c in cuts if c is not None}) + 1
+    for value in [None, *range(-2, 12)]:
+        if predicates != ["1 = 1"]:
+            assert sum(matches(p, value) for p in predicates) == 1
+
+
+def test_split_points_are_quantiles_of_the_database():
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 3 = 0 THEN 7 ELSE i END AS k FROM range(900) r(i)")
+    cuts = con.execute(bounds_query("t", "k", 6)).fetchone()
+    sizes = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0]
+             for p in range_predicates("k", cuts)]
+    assert sum(sizes) == 900 and max(sizes) <= 900 // 6 + 300
+    assert range_predicates("d", [dt.date(2011, 1, 2), dt.date(2010, 1, 2)])[1] == (
+        "d >= '2010-01-02' AND d < '2011-01-02'")
