@@ -73,6 +73,7 @@ def test_a_passage_in_many_documents_makes_no_large_block(spark, monkeypatch):
         return whole(parts, holders, width)
 
     monkeypatch.setattr(suffixes, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "LARGE_BYTES", 1000)
     monkeypatch.setattr(suffixes, "SAMPLE", 1, raising=False)
     monkeypatch.setattr(suffixes, "WINDOWS_AT_ONCE", 500, raising=False)
     monkeypatch.setattr(suffixes, "shared_windows", bounded)
@@ -80,6 +81,33 @@ def test_a_passage_in_many_documents_makes_no_large_block(spark, monkeypatch):
     assert sorted_rows(digests(df), "*") == brute.repeated_bytes(docs)
 
 
+def test_the_largest_doc_id_is_a_document_like_any_other(spark):
+    text = "a text of more than fifty bytes that several documents hold as a whole"
+    docs = [(2 ** 63 - 1, text), (2 ** 63 - 2, text), (None, text), (0, "x" + text[9:] + "yz")]
+    got = digests(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted_rows(got, "*") == brute.repeated_bytes(docs)
+
+
+def test_parts_left_out_share_no_window():
+    rng = random.Random(8)
+    core = b"the minimizer 16"
+    for width in (37, 50, 51):
+        kept = 0
+        for _ in range(60):
+            sides = [bytes(rng.choice(b"ab") for _ in range(40)) for _ in range(3)]
+            parts = sorted({(rng.choice(sides)[-rng.randrange(4, 40):] + core
+                             + rng.choice(sides)[:rng.randrange(4, 40)]) for _ in range(6)})
+            parts += [b"z" * 30 + core * 2]
+            stays = suffixes._sides(parts, np.full(len(parts), suffixes._hashes(
+                np.frombuffer(core, np.uint8))[0]), width)
+            windows = [{p[i:i + width] for i in range(len(p) - width + 1)} for p in parts]
+            for i, own in enumerate(windows):
+                if any(own & w for j, w in enumerate(windows) if j != i):
+                    assert stays[i]
+            kept += stays.sum()
+        assert kept < 60 * 7
+
+
 def test_expansion_gives_common_prefixes():
     rng = random.Random(3)
     for width in (2, 5, 9):
