@@ -13,6 +13,7 @@ import base64
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from operator import itemgetter
 
 import numpy as np
@@ -34,6 +35,8 @@ REMEMBERED = 1 << 16
 # Texts decoded, and bytes encoded, at a time.
 ROWS_DECODED = 256
 ENCODED_BYTES = 1 << 20
+# Matches above these bytes, stretches without a space, are merged through a heap.
+LONG_MATCH = 256
 # Words folded in one row.
 BLOCK_WORDS = 2048
 
@@ -199,6 +202,8 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT_WORDS) -> DataFrame:
 
 def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     """Token ids of a rare word, by the same merges as :func:`fold`."""
+    if len(word) > LONG_MATCH:
+        return merge_long(word, ranks)
     parts = [word[i:i + 1] for i in range(len(word))]
     get = ranks.get
     gaps = [get(a + b) for a, b in zip(parts, parts[1:])]
@@ -215,6 +220,33 @@ def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
             gaps[i] = get(parts[i] + parts[i + 1])
 
 
+def merge_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
+    """:func:`merge_bytes` of a long match, in about linear time.
+
+    The possible merges wait in a heap by rank and place; the parts are a linked list. A merge
+    whose parts have changed since it was noted is passed over.
+    """
+    n, get = len(word), ranks.get
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    ends = list(range(1, n + 1))  # of the part that begins here; 0 once it is merged away
+    waiting = [(rank, i, i + 2) for i in range(n - 1)
+               if (rank := get(word[i:i + 2])) is not None]
+    heapify(waiting)
+    while waiting:
+        _, i, stop = heappop(waiting)
+        j = ends[i] and after[i]
+        if not j or j >= n or ends[j] != stop:
+            continue
+        ends[i], ends[j], after[i] = stop, 0, after[j]
+        if after[j] < n:
+            before[after[j]] = i
+        for a in (before[i], i):
+            b = after[a] if a >= 0 else n
+            if b < n and (rank := get(word[a:ends[b]])) is not None:
+                heappush(waiting, (rank, a, ends[b]))
+    return [ranks[word[i:ends[i]]] for i in range(n) if ends[i]]
+
+
 def _as_bytes(ids: Iterable[int]) -> bytes:
     return np.array(ids, np.int32).tobytes()
 
@@ -248,9 +280,10 @@ def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
            text_col: str = "text", frequent: int = FREQUENT_WORDS) -> DataFrame:
     """``ids`` (array of int), ``decoded``, ``row`` (the given row as a struct) for every row.
 
-    ``decoded`` is the bytes of the ids, as :func:`decode` gives them. Each match of the pattern is encoded by itself, without special tokens. A null or empty
-    text has no ids; repeated rows are encoded alike; an empty table gives no rows; columns
-    may have any names.
+    ``decoded`` is the bytes of the ids, as :func:`decode` gives them. Each match of the pattern
+    is encoded by itself, without special tokens. A null or empty text has no ids; repeated rows
+    are encoded alike; an empty table gives no rows; a very long text is encoded by itself, in
+    time about linear in its longest match; columns may have any names.
     """
     spark = docs.sparkSession
     common = frequent_words(count_words(docs, pattern, text_col), frequent)
@@ -300,7 +333,11 @@ def _decoded(ids: np.ndarray, cuts: np.ndarray, table: tuple) -> pa.Array:
 
 def decode(rows: DataFrame, ranks: Mapping[bytes, int], ids_col: str = "ids",
            out: str = "decoded") -> DataFrame:
-    """The rows with the bytes of their ids, joined, in column ``out``; null ids give none."""
+    """The rows with the bytes of their ids, joined, in column ``out``.
+
+    Null and empty ids give no bytes; repeated rows are decoded alike; an empty table gives no
+    rows; a column of the name ``out`` is replaced.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(_token_table(ranks))
     names = [c for c in rows.columns if c != out]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)

@@ -30,19 +30,35 @@ by_value(__name__)
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share.
 
-    It lies under ``spark.checkpoint.dir``; a session without that setting (tests) uses
-    its warehouse folder, which executors share as well.
+    It lies under ``spark.checkpoint.dir``. A session on one machine without that setting
+    (tests) uses its warehouse folder; a cluster without it is an error, as the folder of one
+    machine is lost with it and unseen by the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root}/llm-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder and read again: cuts the lineage."""
+    """The rows, written to the shared folder and read again: cuts the lineage.
+
+    The folder stays until :func:`discard` is called, or the cluster's own clean-up.
+    """
     folder = shared_folder(df.sparkSession)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    rows = df.sparkSession.read.schema(df.schema).parquet(folder)
+    rows.scratch_folder = folder
+    return rows
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`stored` that nothing will read any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def let(value: Column, body) -> Column:
@@ -77,6 +93,7 @@ def components(links: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
+        before = links
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(
@@ -86,6 +103,7 @@ def components(links: DataFrame) -> DataFrame:
         links = stored(
             small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        discard(before)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20)"))).first()
         if now == state:
             break

@@ -58,7 +58,12 @@ class _Seeds:
 
 
 def _codes(numbers: np.ndarray, size: int) -> np.ndarray:
-    """The n-grams as numbers, which differ between sizes; those with an unknown word (0) as 0."""
+    """The n-grams as numbers, which differ between sizes; those with an unknown word (0) as 0.
+
+    Beyond two million words of a block two of them may share a number here. That makes seeds
+    meet which differ; the alignment compares the words themselves.
+    """
+    numbers = np.where(numbers > 0, (numbers - 1) % ((1 << _BITS) - 1) + 1, 0)
     n = len(numbers) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64)
@@ -78,8 +83,6 @@ def _read_items(rows: list) -> _Items:
         if found:
             ids.append(row["item_id"])
             texts.append(np.array([words.setdefault(w, len(words) + 1) for w in found]))
-    if len(words) >= 1 << _BITS:
-        raise ValueError("a block of items has too many words; lower items_at_once")
     return _Items(tuple(ids), words, tuple(texts))
 
 

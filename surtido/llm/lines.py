@@ -178,7 +178,9 @@ def drop_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``text, n_lines, n_dropped, row``: the kept lines, and the given row as a struct.
 
-    ``n_lines`` counts before dropping. Every row comes back, whatever its columns' names.
+    ``n_lines`` counts before dropping. Every row comes back, whatever its columns' names; a
+    null text counts as empty, one empty line that stays; repeated rows lose the same lines; a
+    very long text is handled by itself; an empty table gives no rows.
     """
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     rows = rows.select(

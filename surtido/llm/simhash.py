@@ -167,7 +167,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows without near duplicates: of each component, the row with the smallest doc_id.
 
-    Rows without a doc_id stay only where no row of their component has one; of rows that
+    A null text counts as empty, very long texts are hashed by themselves, an empty table gives
+    no rows and columns may have any names. Rows without a doc_id stay only where no row of their component has one; of rows that
     share the doc_id, that with the least text hash stays, and of repeated rows one.
     """
     prints = stored(fingerprints(docs, id_col, text_col, width))

@@ -169,7 +169,7 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> list[np.n
         own = np.column_stack([x, *map(_odds, earlier)]) if earlier else x
         known = ~np.isnan(labels[:, k])
         held_out = np.zeros(len(x))
-        for fold in range(FOLDS):
+        for fold in np.unique(folds):
             train, test = known & (folds != fold), folds == fold
             w = _fit(own[train], labels[train, k])
             held_out[test] = _sigmoid(own[test] @ w[:-1] + w[-1])
@@ -178,27 +178,30 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> list[np.n
     return weights
 
 
-def _train(frame: pd.DataFrame, features: list[str], categories: Sequence[str]) -> pd.DataFrame:
-    frame = frame.sort_values(["place", "text"])  # the same fit however the rows arrive
-    ids = _Ids({f: i for i, f in enumerate(features)})
-    x = np.array([_values(t, ids, len(features)) for t in frame["text"]]).reshape(
-        len(frame), len(features))
+def _train(frame: pd.DataFrame, size: int, categories: Sequence[str],
+           n_folds: int) -> pd.DataFrame:
+    frame = frame.sort_values(["place", "mark"])  # the same fit however the rows arrive
+    x = np.array(frame["x"].tolist()).reshape(len(frame), size)
     scale = np.sqrt((x ** 2).mean(axis=0)) + 1e-6
     labels = frame[list(categories)].to_numpy(float)
-    weights = fit_chain(x / scale, labels, (frame["place"] % FOLDS).to_numpy())
+    weights = fit_chain(x / scale, labels, (frame["place"] % n_folds).to_numpy())
     return pd.DataFrame({"part": range(len(weights) + 1),
                          "numbers": [scale.tolist(), *(w.tolist() for w in weights)]})
 
 
 def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGORIES,
           id_col: str = "doc_id", text_col: str = "text",
-          most_labelled: int = MOST_LABELLED) -> Chain:
+          most_labelled: int = MOST_LABELLED, n_features: int = FEATURES, n_folds: int = FOLDS,
+          least_documents: int = LEAST_DOCUMENTS) -> Chain:
     """The chain of the categories, in their order, from labelled documents.
 
     Learns from about ``most_labelled`` labelled rows, chosen by a hash of their doc_id: the
-    features are chosen from their counts, and one task fits all models. A row may lack the
-    label of a category; no labelled rows give a chain that predicts 0. Several label rows
-    of a doc_id count by their largest labels.
+    ``n_features`` of each category are chosen from their counts, among those of at least
+    ``least_documents`` rows. The rows' features are computed where the texts are; one task
+    gets these numbers, bounded by the parameters whatever the texts, and fits all models.
+    A row may lack the label of a category; no labelled rows give a chain that predicts 0.
+    Several label rows of a doc_id count by their largest labels; null, empty and very long
+    texts count like any other; repeated rows count as often as they are given.
     """
     labels = labels.select(F.col(id_col).alias("doc_id"), *categories).where(
         "doc_id IS NOT NULL").groupBy("doc_id").agg(
@@ -216,7 +219,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
         lambda batches: _document_counts(batches, count),
         "feature string, " + ", ".join(f"{c} bigint" for c in names)).groupBy("feature").agg(
         *[F.sum(c).alias(c) for c in names])
-    counts = stored(counts.where(sum((F.col(c) for c in names), F.lit(0)) >= LEAST_DOCUMENTS))
+    counts = stored(counts.where(sum((F.col(c) for c in names), F.lit(0)) >= least_documents))
     totals = rows.agg(*[F.count_if(F.col(c) == v) for c in categories for v in (0, 1)]).first()
     features: set[str] = set()
     for k in range(count):
@@ -226,12 +229,27 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
             float(max(1, totals[2 * k] + totals[2 * k + 1])))
         # The squared difference of the shares over its variance if there were none.
         gain = (yes - no) ** 2 / (both * (1 - both) + 1e-9)
-        few = F.col(names[2 * k]) + F.col(names[2 * k + 1]) >= LEAST_DOCUMENTS
+        few = F.col(names[2 * k]) + F.col(names[2 * k + 1]) >= least_documents
         features |= {r["feature"] for r in counts.where(few).orderBy(
-            F.desc(gain), "feature").limit(FEATURES).select("feature").collect()}
+            F.desc(gain), "feature").limit(n_features).select("feature").collect()}
     ordered = sorted(features)
-    fitted = rows.groupBy().applyInPandas(
-        lambda frame: _train(frame, ordered, categories), "part int, numbers array<double>")
+    numbers = {f: i for i, f in enumerate(ordered)}
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _Ids(numbers)
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                x = [_values(t, ids, len(numbers)) for t in piece.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.list_(pa.float64())), *piece.columns[1:]],
+                    ["x", *piece.schema.names[1:]])
+
+    kinds = ", ".join(f"`{c}` int" for c in categories)
+    measured = rows.select("text", *categories, "place", F.xxhash64("text").alias("mark")).mapInArrow(
+        values, f"x array<double>, {kinds}, place bigint, mark bigint")
+    fitted = measured.groupBy().applyInPandas(
+        lambda frame: _train(frame, len(ordered), categories, n_folds),
+        "part int, numbers array<double>")
     parts = {r["part"]: np.array(r["numbers"]) for r in fitted.collect()}
     if not parts:
         return Chain(tuple(categories), (), np.zeros(0), ())
