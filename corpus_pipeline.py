@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surtido.llm import bpe, decontamination, lines, simhash, toxicity
-from surtido.llm.common import stored
+from surtido.llm.common import discard, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,7 +17,11 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the classifier chain finds toxic go; texts without words stay."""
+    """Documents that the classifier chain finds toxic go; texts without words stay.
+
+    Null texts stay, repeated rows are judged alike, an empty table gives no rows, further
+    columns ride along.
+    """
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = toxicity.learn(docs, labels)
     toxic = F.col("p")[model.categories.index("toxic")] >= toxicity.LEAST_TOXIC
@@ -27,7 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Repeated lines go, except in the document with the smallest doc_id.
 
-    ``n_chars`` counts what is left of a text that lost lines; other rows stay as they are.
+    ``n_chars`` counts what is left of a text that lost lines; other rows stay as they are, null
+    texts null. A null doc_id comes after all others; an empty table gives no rows; further
+    columns ride along.
     """
     rows = lines.drop_lines(docs, lines.keep_bitmaps(docs))
     lost = F.col("n_dropped") > 0
@@ -40,18 +46,30 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays."""
+    """Of each group of near duplicates the document with the smallest doc_id stays.
+
+    Null and empty texts are near each other; repeated rows are one; a row without a doc_id
+    stays only in a group without any; further columns ride along.
+    """
     return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a copy of a benchmark item go."""
+    """Documents with a copy of a benchmark item go.
+
+    Null texts hold none and stay, as everything does if there are no items; repeated rows are
+    judged alike; further columns ride along.
+    """
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
     return decontamination.annotate(docs, items).where(F.size("matches") == 0).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """``doc_id, lang, source, n_tokens, ids, decoded_sha256``: token ids, and their bytes' hash."""
+    """``doc_id, lang, source, n_tokens, ids, decoded_sha256``: token ids, and their bytes' hash.
+
+    Needs the columns doc_id, lang, source and text; others are left out. A null text counts
+    as empty and has no ids; repeated rows are encoded alike; an empty table gives no rows.
+    """
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
         "row.doc_id", "row.lang", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
@@ -71,8 +89,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    What a stage has read is deleted when its own rows are written; the last one reads the
+    rows of the fourth when the result is read.
+    """
+    docs, before = spark.read.parquet(f"{folder}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, folder))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, folder)
