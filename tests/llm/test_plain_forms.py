@@ -101,18 +101,16 @@ def test_languages_by_exact_sets(spark):
     """The filter's corrected popcounts decide as the sets themselves do."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = [r for r in docs.select("doc_id", "text", "lang").collect()]
-    model = langid.learn(docs)
+    model = langid.learn(docs, grams_per_language=1 << 20)  # no ties at the end of a set
     counts: dict[str, Counter] = {}
     for r in rows:
         if r.lang is not None:
             counts.setdefault(r.lang, Counter()).update(plain_grams(r.text))
-    held = {lang: {g for g, _ in c.most_common(langid.GRAMS_PER_LANGUAGE)}
-            for lang, c in counts.items()}
     same = close = 0
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
     for r in rows:
         grams = plain_grams(r.text)
-        hits = [sum(g in held[lang] for g in grams) for lang in model.languages]
+        hits = [sum(g in counts[lang] for g in grams) for lang in model.languages]
         if not any(c.isalpha() for c in r.text or ""):
             assert got[r.doc_id] == ("und", 0.0)
             same, close = same + 1, close + 1
@@ -120,7 +118,8 @@ def test_languages_by_exact_sets(spark):
         best = int(np.argmax(hits))
         same += got[r.doc_id][0] == model.languages[best]
         close += abs(got[r.doc_id][1] - hits[best] / max(1, sum(hits))) < 0.02
-    assert same >= 0.99 * len(rows) and close >= 0.97 * len(rows)
+    assert same >= 0.99 * len(rows)
+    assert close >= 0.97 * len(rows)
 
 
 def newton(x, y, penalty):
