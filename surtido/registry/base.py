@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from surtido.operators.allocation import allocate, global_rows, product_shares, to_forecast_rows
-from surtido.operators.catalog import day_masks, split_tables, valid_products
+from surtido.operators.catalog import (
+    day_masks, keep_valid, sales_fact, split_tables, top_price_catalog, valid_products,
+)
 from surtido.operators.cleaning import clean_lines, keep_sales, normalize_lines
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.operators.series import KEY, covered_months, monthly_units
@@ -42,9 +44,26 @@ def stored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     The clean lines and the active days are written first, as in the reload, so the raw
     tables are scanned and cleaned once.
     """
-    lines, valid = written(spark, folder, fresh_folder(spark))
-    productos, ventas = split_tables(lines, valid=valid)
-    return to_stored(productos, "productos"), to_stored(ventas, "ventas")
+    lines, kept = written(spark, folder, fresh_folder(spark))
+    products, sales = split_tables(lines, valid=kept)
+    return to_stored(products, "productos"), to_stored(sales, "ventas")
+
+
+def valid(spark: SparkSession, folder: str) -> DataFrame:
+    """The valid products, written; copies of lines do not change who is valid."""
+    return write_valid(valid_products(sold(spark, folder)), fresh_folder(spark))
+
+
+def productos(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalogue alone. Copies of lines do not change a top price, so none are removed."""
+    lines = keep_valid(sold(spark, folder), valid=valid(spark, folder))
+    return to_stored(top_price_catalog(lines), "productos")
+
+
+def ventas(spark: SparkSession, folder: str) -> DataFrame:
+    """The sales facts alone."""
+    lines = keep_valid(clean(spark, folder), valid=valid(spark, folder))
+    return to_stored(sales_fact(lines), "ventas")
 
 
 def written(spark: SparkSession, folder: str, warehouse: str) -> tuple[DataFrame, DataFrame]:
@@ -84,14 +103,14 @@ def planned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Dat
     in the reload, and the branches scan rows that are summed already.
     """
     warehouse = fresh_folder(spark)
-    lines, valid = written(spark, folder, warehouse)
-    productos, ventas = split_tables(lines, valid=valid)
+    lines, kept = written(spark, folder, warehouse)
+    products, sales = split_tables(lines, valid=kept)
     monthly = write_series(months_of(lines), warehouse)
     forecast = mean_forecast(monthly)
     score = confidence(error_metrics(mean_fit(monthly))).select("confianza").scalar()
-    rows = allocate(forecast, product_shares(ventas), score)
+    rows = allocate(forecast, product_shares(sales), score)
     predicciones = to_forecast_rows(rows.unionByName(global_rows(forecast, score)))
-    return to_stored(productos, "productos"), to_stored(ventas, "ventas"), predicciones
+    return to_stored(products, "productos"), to_stored(sales, "ventas"), predicciones
 
 
 def mean_predictions(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from surtido.operators import catalog as c
 from surtido.operators.audit import split_audit
 from surtido.registry.base import (
-    ACTIVE, CUTOFF, LINES, STORED, clean, fresh_folder, plain, sold, sql, stored,
+    ACTIVE, CUTOFF, LINES, STORED, clean, fresh_folder, plain, productos, sold, sql, valid, ventas,
 )
 from surtido.sinks import write_days
 
@@ -22,10 +22,10 @@ QUERIES = {
     "last_month_lines": lambda s, d: c.last_month_lines(clean(s, d)),
     "active_days_per_product": lambda s, d: c.active_days(sold(s, d)),
     "valid_products": lambda s, d: c.valid_products(sold(s, d)),
-    "lines_of_valid_products": lambda s, d: c.keep_valid(clean(s, d)),
-    "catalog_top_price": lambda s, d: plain(stored(s, d)[0]),
+    "lines_of_valid_products": lambda s, d: c.keep_valid(clean(s, d), valid=valid(s, d)),
+    "catalog_top_price": lambda s, d: plain(productos(s, d)),
     "catalog_top_price_all": lambda s, d: c.top_price_catalog(sold(s, d)),
-    "sales_fact": lambda s, d: plain(stored(s, d)[1]),
+    "sales_fact": lambda s, d: plain(ventas(s, d)),
     "split_counts": lambda s, d: split_audit(write_days(c.day_masks(clean(s, d)), fresh_folder(s))),
 }
 

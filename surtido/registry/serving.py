@@ -10,46 +10,38 @@ from surtido.operators.allocation import product_shares
 from surtido.operators.ridge import confidence, error_metrics
 from surtido.registry.base import (
     PLANNED, PRODUCT, SERIES, STORED, MEAN_FORECAST, clean, listed, mean_fit, mean_forecast,
-    mean_predictions, months_of, plain, planned, r_sql, rounded, sql, stored,
+    mean_predictions, months_of, plain, planned, productos, r_sql, rounded, sql, stored, ventas,
 )
 
 
-def _ventas(s, d):
-    return stored(s, d)[1]
-
-
-def _productos(s, d):
-    return stored(s, d)[0]
-
-
 def _kpis(s, d):
-    productos, ventas = stored(s, d)
-    return plain(v.kpis(ventas, productos))
+    products, sales = stored(s, d)
+    return plain(v.kpis(sales, products))
 
 
 def _investment(s, d):
-    productos, _, predicciones = planned(s, d)
-    return plain(v.investment(predicciones, productos))
+    products, _, predicciones = planned(s, d)
+    return plain(v.investment(predicciones, products))
 
 
 def _investment_arrays(s, d):
-    productos, _, predicciones = planned(s, d)
-    return listed(v.investment_lists(predicciones, productos), "fechas", "inversion")
+    products, _, predicciones = planned(s, d)
+    return listed(v.investment_lists(predicciones, products), "fechas", "inversion")
 
 
 QUERIES = {
     "kpis": _kpis,
-    "product_list": lambda s, d: v.product_list(_productos(s, d)),
-    "product_list_page": lambda s, d: v.product_list(_productos(s, d), PRODUCT_LIST_LIMIT),
-    "product_label": lambda s, d: v.product_labels(_productos(s, d)),
-    "daily_sales_by_product": lambda s, d: v.daily_sales(_ventas(s, d)),
-    "sales_last_30d_one": lambda s, d: v.recent_sales(_ventas(s, d), PRODUCT),
-    "sales_last_30d_sql": lambda s, d: v.recent_sales_sql(_ventas(s, d), PRODUCT),
-    "sales_last_30d_all": lambda s, d: v.recent_sales(_ventas(s, d)),
-    "sales_series_arrays": lambda s, d: listed(v.recent_sales_lists(_ventas(s, d)),
+    "product_list": lambda s, d: v.product_list(productos(s, d)),
+    "product_list_page": lambda s, d: v.product_list(productos(s, d), PRODUCT_LIST_LIMIT),
+    "product_label": lambda s, d: v.product_labels(productos(s, d)),
+    "daily_sales_by_product": lambda s, d: v.daily_sales(ventas(s, d)),
+    "sales_last_30d_one": lambda s, d: v.recent_sales(ventas(s, d), PRODUCT),
+    "sales_last_30d_sql": lambda s, d: v.recent_sales_sql(ventas(s, d), PRODUCT),
+    "sales_last_30d_all": lambda s, d: v.recent_sales(ventas(s, d)),
+    "sales_series_arrays": lambda s, d: listed(v.recent_sales_lists(ventas(s, d)),
                                                "fechas", "unidades"),
-    "monthly_units_last_year": lambda s, d: v.monthly_sales_last_year(_ventas(s, d)),
-    "product_share": lambda s, d: product_shares(_ventas(s, d)),
+    "monthly_units_last_year": lambda s, d: v.monthly_sales_last_year(ventas(s, d)),
+    "product_share": lambda s, d: product_shares(ventas(s, d)),
     "mean_forecast": lambda s, d: mean_forecast(months_of(clean(s, d))),
     "fit_metrics": lambda s, d: rounded(error_metrics(mean_fit(months_of(clean(s, d)))), "rmse", "mae", "r2"),
     "fit_confidence": lambda s, d: rounded(
@@ -70,7 +62,7 @@ QUERIES = {
         v.confidence_gauge(v.mean_confidence(mean_predictions(s, d))),
         "confianza", "porcentaje", "margen"),
     "confidence_gauge_missing": lambda s, d: v.confidence_gauge(
-        _productos(s, d).select("id_producto", F.lit(None).cast("double").alias("confianza"))),
+        productos(s, d).select("id_producto", F.lit(None).cast("double").alias("confianza"))),
 }
 
 _RECENT = ("recent", """

@@ -25,8 +25,8 @@ from surtido.operators.ridge import fit_models
 from surtido.operators.serving import kpis, monthly_sales_last_year, recent_sales
 from surtido.plans.reload import reload, store_clean, store_tables
 from surtido.registry.base import (
-    LINES, PLANNED, STORED, clean, fresh_folder, mean_predictions, plain, planned, raw, rounded,
-    sql, stored,
+    LINES, PLANNED, STORED, clean, fresh_folder, mean_predictions, plain, planned, productos, raw,
+    rounded, sold, sql, ventas,
 )
 from surtido.registry.catalog import ORACLES as CATALOG_ORACLES
 from surtido.registry.lines import ORACLES as LINES_ORACLES
@@ -61,19 +61,19 @@ def _unfiltered_facts(s, d) -> DataFrame:
 
 def _all_prices(s, d) -> DataFrame:
     """Product rows as they arrive, many per key."""
-    return clean(s, d).select("id_producto", "nombre", F.lit("Sin categoría").alias("categoria"),
+    return sold(s, d).select("id_producto", "nombre", F.lit("Sin categoría").alias("categoria"),
                               "precio_unitario")
 
 
 def _insert_ignore(s, d) -> DataFrame:
-    return missing_products(_all_prices(s, d), stored(s, d)[0])
+    return missing_products(_all_prices(s, d), productos(s, d))
 
 
 def _stored_products(s, d) -> DataFrame:
     """The product table after the catalogue and then every price row was inserted."""
     folder = fresh_folder(s)
     clear_tables(s, folder)
-    insert_ignore(stored(s, d)[0], folder)
+    insert_ignore(productos(s, d), folder)
     insert_ignore(_all_prices(s, d), folder)
     return plain(read_stored(s, folder, "productos"))
 
@@ -100,7 +100,7 @@ def _cleared(s, d) -> DataFrame:
     """The sales table is empty again after it was loaded."""
     folder = fresh_folder(s)
     clear_tables(s, folder)
-    append_sales(stored(s, d)[1], folder)
+    append_sales(ventas(s, d), folder)
     loaded = read_stored(s, folder, "ventas").count()
     clear_tables(s, folder)
     return read_stored(s, folder, "ventas").agg(F.count(F.lit(1)).alias("quedan")).select(
@@ -129,11 +129,11 @@ def _broken(s, d) -> DataFrame:
 
 
 def _known(s, d) -> DataFrame:
-    return k.split_orphans(_unfiltered_facts(s, d), stored(s, d)[0])[0]
+    return k.split_orphans(_unfiltered_facts(s, d), productos(s, d))[0]
 
 
 def _set_aside(s, d) -> DataFrame:
-    return k.split_orphans(_unfiltered_facts(s, d), stored(s, d)[0])[1]
+    return k.split_orphans(_unfiltered_facts(s, d), productos(s, d))[1]
 
 
 def _null_safe(s, d) -> DataFrame:
@@ -176,7 +176,7 @@ def _loaded(s, d) -> str:
     """A folder of stored tables."""
     folder = fresh_folder(s)
     clear_tables(s, folder)
-    append_sales(stored(s, d)[1], folder)
+    append_sales(ventas(s, d), folder)
     return folder
 
 
@@ -374,7 +374,7 @@ QUERIES = {
     "constraint_violations": _violations,
     "broken_rows": lambda s, d: plain(_broken(s, d)),
     "duplicate_keys": lambda s, d: k.duplicate_keys(clean(s, d), "id_producto"),
-    "orphans": lambda s, d: k.orphans(_unfiltered_facts(s, d), stored(s, d)[0]),
+    "orphans": lambda s, d: k.orphans(_unfiltered_facts(s, d), productos(s, d)),
     "rows_of_known_products": _known,
     "rows_set_aside": _set_aside,
     "null_safe_round_cast": _null_safe,
