@@ -31,7 +31,7 @@ by_value(__name__)
 FREQUENT_WORDS = 1 << 17
 WORD_BYTES = 64
 # Stretches between spaces that a worker remembers beside that table.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
 # Texts decoded, and bytes encoded, at a time.
 ROWS_DECODED = 256
 ENCODED_BYTES = 1 << 20
@@ -40,6 +40,7 @@ LONG_MATCH = 256
 # Words folded in one row.
 BLOCK_WORDS = 2048
 
+_NEVER = 1 << 62  # the rank of two tokens that are not merged
 _SLOTS = 1 << 16
 _MIX = 0x5BD1E995  # keys stay below 2**32, so the product fits in 63 bits
 
@@ -206,18 +207,16 @@ def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
         return merge_long(word, ranks)
     parts = [word[i:i + 1] for i in range(len(word))]
     get = ranks.get
-    gaps = [get(a + b) for a, b in zip(parts, parts[1:])]
-    while True:
-        best = min((r for r in gaps if r is not None), default=None)
-        if best is None:
-            return [ranks[p] for p in parts]
+    gaps = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+    while gaps and (best := min(gaps)) < _NEVER:
         i = gaps.index(best)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        parts[i] += parts.pop(i + 1)
         del gaps[i]
         if i:
-            gaps[i - 1] = get(parts[i - 1] + parts[i])
+            gaps[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
         if i < len(gaps):
-            gaps[i] = get(parts[i] + parts[i + 1])
+            gaps[i] = get(parts[i] + parts[i + 1], _NEVER)
+    return [ranks[p] for p in parts]
 
 
 def merge_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
