@@ -1,11 +1,12 @@
-"""Benchmark decontamination: n-gram seeds, then local alignment.
-
-Every copy that the alignment accepts keeps a number of the item's n-grams, which follows
-from the item's length and the least score: n words in a row between edits. All n-grams of
-an item are seeds, and a document that holds as many of them as a copy keeps is aligned with
-the item around them (Smith-Waterman over words). So no copy that would be accepted is left
-out, wherever its edits lie. Short items take pairs of words, as their copies need no three
-words in a row.
+"""Benchmark decontamination: rare n-gram seeds join texts to items, then local alignment.
+
+Every copy that the alignment accepts keeps K of the item's G n-grams at least, which follows
+from the item's length and the least score: n words in a row between edits. So it keeps one of
+any G - K + 1 of them, and these seeds may be chosen freely: the n-grams that the fewest texts
+hold. Texts join the items with which they share a seed; a text that holds K n-grams of such an
+item is aligned with it around them (Smith-Waterman over words). No copy that would be accepted
+is left out, wherever its edits lie. Short items take pairs of words, as their copies need no
+three words in a row.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surtido.llm.common import by_value, pieces
+from surtido.llm.common import by_value, discard, pieces, stored
 
 by_value(__name__)
 
@@ -230,9 +233,11 @@ def _copies(item: np.ndarray, text: np.ndarray, points: int) -> Iterator[tuple[f
 
 
 def _matches(numbers: np.ndarray, items: list, seeds: _Seeds,
-             least: float) -> Iterator[tuple]:
-    """(item, score, start, stop) of the copies of items a text holds, which do not overlap."""
+             least: float, chosen: set[int]) -> Iterator[tuple]:
+    """(item, score, start, stop) of the copies of chosen items, which do not overlap."""
     for item, starts, offsets in _hits(numbers, seeds):
+        if item not in chosen:
+            continue
         text = items[item]
         points = _least_points(len(text), least)
         pad = max(len(text) // 2, len(text) - points) + 1
@@ -257,30 +262,91 @@ def _seeds(data: _Items, least: float) -> _Seeds:
                   items[order], offsets[order], np.array([h for _, h in kept], np.int64))
 
 
-def _search(rows: DataFrame, block: list, least_score: float) -> DataFrame:
-    """(row, text, matches): the matches with the items of a block, added to those before."""
-    data = _read_items(block)
-    if not data.texts:
-        return rows
-    shared = rows.sparkSession.sparkContext.broadcast(
-        (data.words, list(data.texts), _seeds(data, least_score), data.ids))
+def _gram_hits(keyed: DataFrame, block: Broadcast) -> DataFrame:
+    """(k1, k2, grams): which n-grams of the items a text holds, for texts that hold any."""
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, _, seeds, _ = block.value
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                grams, keep = [], []
+                for i, text in enumerate(piece.column("text").to_pylist()):
+                    numbers = _numbers(text, words)
+                    held = np.unique(np.concatenate([
+                        _places(_codes(numbers, n), seeds.grams)[1] for n in seeds.sizes]))
+                    if len(held):
+                        grams.append(held)
+                        keep.append(i)
+                keys = piece.select(["k1", "k2"]).take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*keys.columns, pa.array(grams, pa.list_(pa.int32()))], ["k1", "k2", "grams"])
+
+    return keyed.mapInArrow(worker, "k1 bigint, k2 bigint, grams array<int>")
+
+
+def rare_seeds(hits: DataFrame, seeds: _Seeds) -> DataFrame:
+    """(gram, item): of every item the n-grams held by the fewest texts, as few as are safe.
+
+    Of an item's n-grams every copy keeps a number at least; so of all but that many, and one
+    more, every copy keeps one. Which they are is free, and the rarest meet the fewest texts.
+    """
+    spark = hits.sparkSession
+    sizes = np.bincount(seeds.items, minlength=len(seeds.least_hits))
+    gram = np.repeat(np.arange(len(seeds.grams)), np.diff(seeds.first))
+    most = (sizes - seeds.least_hits + 1)[seeds.items]
+    held = spark.createDataFrame(pa.table({
+        "gram": pa.array(gram, pa.int32()), "item": pa.array(seeds.items, pa.int32()),
+        "offset": pa.array(seeds.offsets, pa.int32()), "most": pa.array(most, pa.int32())}))
+    counts = hits.select(F.explode("grams").alias("gram")).groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(
+        F.coalesce("n", F.lit(0)), "gram", "offset"))
+    return held.join(counts, "gram", "left").withColumn("rank", rank).where(
+        F.col("rank") <= F.col("most")).select("gram", "item").distinct()
+
+
+def _aligned(candidates: DataFrame, block: Broadcast, least_score: float) -> DataFrame:
+    """(k1, k2, matches) of texts with the items that share a rare seed with them."""
     kind = pa.list_(pa.struct([("item_id", pa.string()), ("score", pa.float64()),
                                ("start_word", pa.int32()), ("stop_word", pa.int32())]))
     names = [f.name for f in kind.value_type]
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, texts, seeds, ids = shared.value
+        words, texts, seeds, ids = block.value
         for batch in batches:
             for piece in pieces(batch, "text"):
                 found = [[dict(zip(names, (ids[i], *m))) for i, *m in _matches(
-                    _numbers(text, words), texts, seeds, least_score)]
-                         for text in piece.column("text").to_pylist()]
+                    _numbers(text, words), texts, seeds, least_score, set(items))]
+                         for text, items in zip(piece.column("text").to_pylist(),
+                                                piece.column("items").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(found, kind)], [*piece.schema.names, "found"])
+                    [piece.column("k1"), piece.column("k2"), pa.array(found, kind)],
+                    ["k1", "k2", "matches"])
 
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns)
-    found = rows.mapInArrow(worker, f"{schema}, found {_MATCHES}")
-    return found.select("row", "text", F.concat("matches", "found").alias("matches"))
+    return candidates.mapInArrow(worker, f"k1 bigint, k2 bigint, matches {_MATCHES}").where(
+        F.size("matches") > 0)
+
+
+def _search(keyed: DataFrame, rows: list, least_score: float) -> DataFrame | None:
+    """(k1, k2, matches): the copies of a block of items in the texts, written."""
+    data = _read_items(rows)
+    if not data.texts:
+        return None
+    seeds = _seeds(data, least_score)
+    block = keyed.sparkSession.sparkContext.broadcast(
+        (data.words, list(data.texts), seeds, data.ids))
+    hits = stored(_gram_hits(keyed, block))
+    chosen = stored(rare_seeds(hits, seeds))  # written, so its size tells how to join
+    met = hits.select("k1", "k2", F.explode("grams").alias("gram")).join(chosen, "gram")
+    candidates = stored(met.select("k1", "k2", "item").distinct().groupBy("k1", "k2").agg(
+        F.sort_array(F.collect_list("item")).alias("items")))
+    # Equal texts have one answer: each is aligned once.
+    texts = keyed.join(candidates, ["k1", "k2"]).groupBy("k1", "k2").agg(
+        F.first("text").alias("text"), F.first("items").alias("items"))
+    found = stored(_aligned(texts, block, least_score))
+    for table in (hits, chosen, candidates):
+        discard(table)
+    block.unpersist()
+    return found
 
 
 def annotate(docs: DataFrame, items: DataFrame, text_col: str = "text",
@@ -293,24 +359,38 @@ def annotate(docs: DataFrame, items: DataFrame, text_col: str = "text",
     ``least_score``, and its first word and the word after its last. Words are compared in
     lower case without punctuation. A document has a match for each copy of an item; copies
     of one item do not overlap, the best is taken first. Items of one or two words are found
-    where all their words stand in a row; null and empty texts hold and match nothing; repeated rows get equal
-    answers; equal items are all reported; an empty table of items gives no matches; columns
-    may have any names. Items come in blocks of a fixed size, so what is broadcast is
-    bounded; documents are never collected.
+    where all their words stand in a row; null and empty texts hold and match nothing; very
+    long texts are searched by themselves; repeated rows get equal answers; equal items are
+    all reported; an empty table of items gives no matches; columns may have any names. Items
+    come in blocks of a fixed size, one after the other, so what is broadcast is bounded;
+    documents are never collected.
     """
     items = items.select(F.col(item_col).cast("string").alias("item_id"),
                          F.col(item_text).cast("string").alias("text"))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    rows = rows.select("row", F.col("row")[text_col].cast("string").alias("text"),
-                       F.array().cast(_MATCHES).alias("matches"))
-    block: list = []
+    text = F.col("row")[text_col].cast("string")
+    keys = {"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(1), text)}
+    keyed = rows.select(text.alias("text"), *[k.alias(n) for n, k in keys.items()]).where(
+        F.col("text").isNotNull())
+    none = F.array().cast(_MATCHES)
+    tables, block = [], []
     for item in items.toLocalIterator():
         block.append(item)
         if len(block) == items_at_once:
-            rows, block = _search(rows, block, least_score), []
+            tables, block = [*tables, _search(keyed, block, least_score)], []
     if block:
-        rows = _search(rows, block, least_score)
-    return rows.select("matches", "row")
+        tables.append(_search(keyed, block, least_score))
+    tables = [t for t in tables if t is not None]
+    if not tables:
+        return rows.select(none.alias("matches"), "row")
+    found = tables[0]
+    if len(tables) > 1:
+        found = stored(reduce(DataFrame.unionByName, tables).groupBy("k1", "k2").agg(
+            F.flatten(F.collect_list("matches")).alias("matches")))
+    found = found.select("matches", *[F.col(n).alias(f"of_{n}") for n in keys])
+    joined = rows.withColumns(keys).join(
+        found, (F.col("k1") == F.col("of_k1")) & (F.col("k2") == F.col("of_k2")), "left")
+    return joined.select(F.coalesce("matches", none).alias("matches"), "row")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",

@@ -238,12 +238,44 @@ def test_copies_edited_at_random_are_found():
             text = np.array([0] * rng.randrange(9) + copy + [0] * rng.randrange(9))
             data = decontamination._Items((1,), {}, (np.array(item),))
             found = list(decontamination._matches(
-                text, list(data.texts), decontamination._seeds(data, least), least))
+                text, list(data.texts), decontamination._seeds(data, least), least, {0}))
             score = decontamination.align(data.texts[0], text)[0]
             assert max([m[1] for m in found], default=0) == (
                 score / len(item) if score >= least * len(item) else 0)
 
 
+def test_seeds_are_the_rarest_that_every_copy_must_share(spark):
+    rng = random.Random(12)
+    items = [np.array([rng.randrange(1, 40) for _ in range(n)]) for n in (5, 12, 30, 30, 3)]
+    data = decontamination._Items(tuple(range(5)), {}, tuple(items))
+    seeds = decontamination._seeds(data, 0.6)
+    counts = {int(g): rng.choice((0, 1, 2, 50)) for g in range(len(seeds.grams))}
+    rows = [(i, i, [g for g, n in counts.items() if i < n]) for i in range(50)]
+    hits = spark.createDataFrame([r for r in rows if r[2]], "k1 long, k2 long, grams array<int>")
+    got = {}
+    for r in decontamination.rare_seeds(hits, seeds).collect():
+        got.setdefault(r.item, set()).add(r.gram)
+    for item, words in enumerate(items):
+        n, kept = decontamination.kept_grams(len(words), 0.6)
+        own = np.searchsorted(seeds.grams, decontamination._codes(words, n)).tolist()
+        rarest = sorted(own, key=lambda g: (counts[g], g))[:len(own) - kept + 1]
+        assert got[item] == set(rarest)
+
+
+def test_blocks_of_items_and_words_give_the_same(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = [" ".join(rng.choice(WORDS) + str(rng.randrange(9)) for _ in range(60)) for _ in range(30)]
+    items = spark.createDataFrame([(i, t[5:140]) for i, t in enumerate(texts[:9])] + [(99, None)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)) * 2 + [(40, None), (41, "")],
+                                 "doc_id long, text string").repartition(4)
+    whole = sorted_rows(decontamination.contaminated(docs, items), "*")
+    assert len({r[0] for r in whole}) == 9 and len(whole) == 18
+    assert sorted_rows(decontamination.contaminated(docs, items, items_at_once=2), "*") == whole
+    monkeypatch.setattr(decontamination, "_BITS", 3)  # words share numbers in the n-grams
+    assert sorted_rows(decontamination.contaminated(docs, items), "*") == whole
+
+
 def test_every_copy_in_a_document_is_found(spark):
     item = [f"w{k}" for k in range(20)]
     edited = item[:6] + ["edited"] + item[7:]
