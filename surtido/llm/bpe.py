@@ -10,10 +10,12 @@ text; Arrow batches look words up there and merge the rare rest by the same rank
 from __future__ import annotations
 
 import base64
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, filterfalse, islice
 from operator import itemgetter
 
 import numpy as np
@@ -35,6 +37,8 @@ REMEMBERED = 1 << 18
 # Texts decoded, and bytes encoded, at a time.
 ROWS_DECODED = 256
 ENCODED_BYTES = 1 << 20
+# Words up to these bytes are merged together, as rows of a matrix.
+TOGETHER_BYTES = 64
 # Matches above these bytes, stretches without a space, are merged through a heap.
 LONG_MATCH = 256
 # Words folded in one row.
@@ -141,23 +145,12 @@ def encode_words(words: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
 
 # --- Texts --------------------------------------------------------------------
 
-class _Irregular(Exception):
-    """A space that does not begin a match."""
-
-
-def _stretch(part: str) -> str:
-    """A stretch of text from a space on.
+def count_words(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
+    """(word, n): every match of the pattern in all texts and how often it occurs.
 
-    A space before a sign that is not white space always begins a match of the pattern, so
-    a text may be cut there, and equal stretches are split alike.
+    A space before a sign that is not white space always begins a match of the pattern, so a
+    text may be cut there, and equal stretches are split alike.
     """
-    if not part or part[0].isspace():
-        raise _Irregular
-    return " " + part
-
-
-def count_words(docs: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
-    """(word, n): every match of the pattern in all texts and how often it occurs."""
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = split_pattern(pattern).findall
         for batch in batches:
@@ -205,18 +198,16 @@ def merge_bytes(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     """Token ids of a rare word, by the same merges as :func:`fold`."""
     if len(word) > LONG_MATCH:
         return merge_long(word, ranks)
-    parts = [word[i:i + 1] for i in range(len(word))]
-    get = ranks.get
-    gaps = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+    get, cuts = ranks.get, list(range(len(word) + 1))  # a part lies between two cuts
+    gaps = [get(word[i:i + 2], _NEVER) for i in cuts[:-2]]
     while gaps and (best := min(gaps)) < _NEVER:
         i = gaps.index(best)
-        parts[i] += parts.pop(i + 1)
-        del gaps[i]
+        del cuts[i + 1], gaps[i]
         if i:
-            gaps[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
+            gaps[i - 1] = get(word[cuts[i - 1]:cuts[i + 1]], _NEVER)
         if i < len(gaps):
-            gaps[i] = get(parts[i] + parts[i + 1], _NEVER)
-    return [ranks[p] for p in parts]
+            gaps[i] = get(word[cuts[i]:cuts[i + 2]], _NEVER)
+    return [ranks[word[a:b]] for a, b in zip(cuts, cuts[1:])]
 
 
 def merge_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
@@ -246,33 +237,141 @@ def merge_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     return [ranks[word[i:ends[i]]] for i in range(n) if ends[i]]
 
 
+class PairTable:
+    """The ranks of merges of two token ids, for many pairs at a time."""
+
+    def __init__(self, ranks: Mapping[bytes, int]):
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        found = [(a << 16 | b, rank) for token, rank in ranks.items()
+                 for cut in range(1, len(token))
+                 if (a := ranks.get(token[:cut])) is not None
+                 and (b := ranks.get(token[cut:])) is not None]
+        keys, merged = np.array(sorted(found), np.int64).reshape(-1, 2).T
+        self.keys, self.merged = np.append(keys, _NEVER), np.append(merged, _NEVER)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the merge of each pair; ids below 0 are no tokens."""
+        keys = np.where(b < 0, -1, a << 16 | b)
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.merged[at], _NEVER)
+
+
+def merge_many(words: list[bytes], table: PairTable) -> list[bytes]:
+    """The ids, as bytes, of many short words, by the same merges as :func:`merge_bytes`.
+
+    A word is a row of ids; in each step every row that can merges its lowest rank, the
+    leftmost of equals, and gets shorter by one. Rows that cannot are done.
+    """
+    sizes = np.array([len(w) for w in words], np.int64)
+    width = int(sizes.max(initial=1))
+    inside = np.arange(width) < sizes[:, None]
+    rows = np.full(inside.shape, -1, np.int64)
+    rows[inside] = table.single[np.frombuffer(b"".join(words), np.uint8)]
+    gaps = table.ranks(rows[:, :-1], rows[:, 1:])
+    number, done, lengths, order = np.arange(len(words)), [], [], []
+
+    def finish(ended: np.ndarray) -> None:
+        valid = rows[ended] >= 0
+        done.append(rows[ended][valid])
+        lengths.append(valid.sum(axis=1))
+        order.append(number[ended])
+
+    while gaps.shape[1] and len(rows):
+        at = gaps.argmin(axis=1)
+        new = gaps[np.arange(len(rows)), at]
+        going = new < _NEVER
+        if not going.all():
+            finish(~going)
+            rows, gaps, number, at, new = (x[going] for x in (rows, gaps, number, at, new))
+            if not len(rows):
+                break
+        every = np.arange(len(rows))
+        rows[every, at] = new
+        width = rows.shape[1] - 1
+        rows = rows[np.arange(width + 1) != at[:, None] + 1].reshape(len(at), width)
+        gaps = gaps[np.arange(width) != at[:, None]].reshape(len(rows), width - 1)
+        left = np.flatnonzero(at > 0)
+        gaps[left, at[left] - 1] = table.ranks(rows[left, at[left] - 1], new[left])
+        right = np.flatnonzero(at < width - 1)
+        gaps[right, at[right]] = table.ranks(new[right], rows[right, at[right] + 1])
+    if len(rows):
+        finish(np.ones(len(rows), bool))
+    ends = 4 * np.cumsum(np.concatenate([[0], *lengths]))
+    data = np.concatenate([*done, np.zeros(0, np.int64)]).astype(np.int32).tobytes()
+    out = [b""] * len(words)
+    for i, a, b in zip(np.concatenate([*order, np.zeros(0, np.int64)]).tolist(),
+                       ends[:-1].tolist(), ends[1:].tolist()):
+        out[i] = data[a:b]
+    return out
+
+
 def _as_bytes(ids: Iterable[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+    return array("i", ids).tobytes()
 
 
-class _Encoder(dict):
-    """Ids, as bytes, of stretches of text; a new one is split and merged, then remembered."""
+class _Both(dict):
+    """A dictionary that looks further in another one."""
 
-    def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pattern: str):
-        super().__init__()
-        self.known, self.ranks, self.find = known, ranks, split_pattern(pattern).findall
+    other: Mapping[str, bytes] = {}
 
-    def words(self, text: str) -> bytes:
-        return b"".join([self.known.get(w) or _as_bytes(merge_bytes(w.encode(), self.ranks))
-                         for w in self.find(text)])
+    def __missing__(self, key: str) -> bytes:
+        return self.other[key]
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self.words(_stretch(part))
-        if len(self) < REMEMBERED:
-            self[part] = ids
-        return ids
 
-    def text(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        try:
-            return b"".join([self.words(first), *map(self.__getitem__, rest)])
-        except _Irregular:
-            return self.words(text)
+class _Encoder:
+    """Ids, as bytes, of texts; stretches of texts are split, merged together, and remembered.
+
+    A worker process keeps it from task to task, with up to ``REMEMBERED`` stretches.
+    """
+
+    def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pattern: str):
+        self.ranks, self.find = ranks, split_pattern(pattern).findall
+        self.table, self.known = PairTable(ranks), _Both(known)
+        self.memory: dict[str, bytes] = {}
+
+    def merged(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of words that are not known, short ones together, widths of a power of two."""
+        found: dict[str, bytes] = {}
+        alike: dict[int, list[str]] = {}
+        for word in words:
+            size = len(word.encode())
+            if size > TOGETHER_BYTES:
+                found[word] = _as_bytes(merge_bytes(word.encode(), self.ranks))
+            else:
+                alike.setdefault((size - 1).bit_length(), []).append(word)
+        for own in alike.values():
+            found.update(zip(own, merge_many([w.encode() for w in own], self.table)))
+        return found
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        cut = [t.partition(" ") for t in texts]
+        rests = [rest.split(" ") if space else [] for _, space, rest in cut]
+        coded = [[*map(self.memory.get, parts)] for parts in rests]
+        gaps = [[k for k, ids in enumerate(own) if ids is None] for own in coded]
+        new = {parts[k] for parts, own in zip(rests, gaps) for k in own}
+        spaced = {p for p in new if not p or p[0].isspace()}
+        regular = list(new - spaced)
+        # Where a space does not begin a match, the whole text is split by the pattern.
+        firsts = [first for first, _, _ in cut]
+        if spaced:
+            for i, parts in enumerate(rests):
+                if not spaced.isdisjoint(parts):
+                    firsts[i], coded[i], gaps[i] = texts[i], [], []
+        words = [*map(self.find, map(" ".__add__, regular))]
+        first_words = [*map(self.find, firsts)]
+        self.known.other = self.merged(set(filterfalse(self.known.__contains__, chain(
+            chain.from_iterable(words), chain.from_iterable(first_words)))))
+
+        def joined(found: list[str], get=self.known.__getitem__) -> bytes:
+            return b"".join(map(get, found))
+
+        recent = dict(zip(regular, map(joined, words)))
+        if len(self.memory) < REMEMBERED:
+            self.memory.update(islice(recent.items(), REMEMBERED - len(self.memory)))
+        for parts, ids, own in zip(rests, coded, gaps):
+            for k in own:
+                ids[k] = recent[parts[k]]
+        return [joined(first) + b"".join(ids) for first, ids in zip(first_words, coded)]
 
 
 def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
@@ -289,14 +388,17 @@ def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
     found = encode_words(common, ranks).toArrow()
     known = {w: _as_bytes(ids) for w, ids in zip(found.column("word").to_pylist(),
                                                  found.column("ids").to_pylist())}
-    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks)))
+    # The last part is each worker's own: Spark keeps a broadcast value in the worker process.
+    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks), []))
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks, table = shared.value
-        encoder = _Encoder(known, ranks, pattern)
+        known, ranks, table, kept = shared.value
+        if not kept:
+            kept.append(_Encoder(known, ranks, pattern))
+        encoder = kept[0]
         for batch in batches:
             for piece in pieces(batch, "text", ENCODED_BYTES):
-                coded = [encoder.text(t or "") for t in piece.column("text").to_pylist()]
+                coded = encoder.texts([t or "" for t in piece.column("text").to_pylist()])
                 ends = np.cumsum([0, *map(len, coded)]) // 4
                 ids = np.frombuffer(b"".join(coded), np.int32)
                 yield pa.RecordBatch.from_arrays(
