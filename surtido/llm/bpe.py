@@ -33,7 +33,7 @@ by_value(__name__)
 FREQUENT_WORDS = 1 << 17
 WORD_BYTES = 64
 # Stretches between spaces that a worker remembers beside that table.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 # Texts decoded, and bytes encoded, at a time.
 ROWS_DECODED = 256
 ENCODED_BYTES = 1 << 20
@@ -321,7 +321,7 @@ class _Both(dict):
 class _Encoder:
     """Ids, as bytes, of texts; stretches of texts are split, merged together, and remembered.
 
-    A worker process keeps it from task to task, with up to ``REMEMBERED`` stretches.
+    A task remembers up to ``REMEMBERED`` stretches.
     """
 
     def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pattern: str):
@@ -388,14 +388,11 @@ def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
     found = encode_words(common, ranks).toArrow()
     known = {w: _as_bytes(ids) for w, ids in zip(found.column("word").to_pylist(),
                                                  found.column("ids").to_pylist())}
-    # The last part is each worker's own: Spark keeps a broadcast value in the worker process.
-    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks), []))
+    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks)))
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks, table, kept = shared.value
-        if not kept:
-            kept.append(_Encoder(known, ranks, pattern))
-        encoder = kept[0]
+        known, ranks, table = shared.value
+        encoder = _Encoder(known, ranks, pattern)
         for batch in batches:
             for piece in pieces(batch, "text", ENCODED_BYTES):
                 coded = encoder.texts([t or "" for t in piece.column("text").to_pylist()])
