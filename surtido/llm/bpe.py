@@ -33,10 +33,10 @@ by_value(__name__)
 FREQUENT_WORDS = 1 << 17
 WORD_BYTES = 64
 # Stretches between spaces that a worker remembers beside that table.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 16
 # Texts decoded, and bytes encoded, at a time.
 ROWS_DECODED = 256
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 1 << 19
 # Words up to these bytes are merged together, as rows of a matrix.
 TOGETHER_BYTES = 64
 # Matches above these bytes, stretches without a space, are merged through a heap.
@@ -237,26 +237,28 @@ def merge_long(word: bytes, ranks: Mapping[bytes, int]) -> list[int]:
     return [ranks[word[i:ends[i]]] for i in range(n) if ends[i]]
 
 
-class PairTable:
-    """The ranks of merges of two token ids, for many pairs at a time."""
+Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]
 
-    def __init__(self, ranks: Mapping[bytes, int]):
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        found = [(a << 16 | b, rank) for token, rank in ranks.items()
-                 for cut in range(1, len(token))
-                 if (a := ranks.get(token[:cut])) is not None
-                 and (b := ranks.get(token[cut:])) is not None]
-        keys, merged = np.array(sorted(found), np.int64).reshape(-1, 2).T
-        self.keys, self.merged = np.append(keys, _NEVER), np.append(merged, _NEVER)
 
-    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The rank of the merge of each pair; ids below 0 are no tokens."""
-        keys = np.where(b < 0, -1, a << 16 | b)
-        at = np.searchsorted(self.keys, keys)
-        return np.where(self.keys[at] == keys, self.merged[at], _NEVER)
+def pair_table(ranks: Mapping[bytes, int]) -> Pairs:
+    """(ids of the bytes, pairs of ids as sorted keys, the ranks of their merges)."""
+    found = [(a << 16 | b, rank) for token, rank in ranks.items()
+             for cut in range(1, len(token))
+             if (a := ranks.get(token[:cut])) is not None
+             and (b := ranks.get(token[cut:])) is not None]
+    keys, merged = np.array(sorted(found), np.int64).reshape(-1, 2).T
+    return (np.array([ranks[bytes([b])] for b in range(256)], np.int64),
+            np.append(keys, _NEVER), np.append(merged, _NEVER))
 
 
-def merge_many(words: list[bytes], table: PairTable) -> list[bytes]:
+def _pair_ranks(pairs: Pairs, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The rank of the merge of each two ids; ids below 0 are no tokens."""
+    keys = np.where(b < 0, -1, a << 16 | b)
+    at = np.searchsorted(pairs[1], keys)
+    return np.where(pairs[1][at] == keys, pairs[2][at], _NEVER)
+
+
+def merge_many(words: list[bytes], pairs: Pairs) -> list[bytes]:
     """The ids, as bytes, of many short words, by the same merges as :func:`merge_bytes`.
 
     A word is a row of ids; in each step every row that can merges its lowest rank, the
@@ -266,8 +268,8 @@ def merge_many(words: list[bytes], table: PairTable) -> list[bytes]:
     width = int(sizes.max(initial=1))
     inside = np.arange(width) < sizes[:, None]
     rows = np.full(inside.shape, -1, np.int64)
-    rows[inside] = table.single[np.frombuffer(b"".join(words), np.uint8)]
-    gaps = table.ranks(rows[:, :-1], rows[:, 1:])
+    rows[inside] = pairs[0][np.frombuffer(b"".join(words), np.uint8)]
+    gaps = _pair_ranks(pairs, rows[:, :-1], rows[:, 1:])
     number, done, lengths, order = np.arange(len(words)), [], [], []
 
     def finish(ended: np.ndarray) -> None:
@@ -291,9 +293,9 @@ def merge_many(words: list[bytes], table: PairTable) -> list[bytes]:
         rows = rows[np.arange(width + 1) != at[:, None] + 1].reshape(len(at), width)
         gaps = gaps[np.arange(width) != at[:, None]].reshape(len(rows), width - 1)
         left = np.flatnonzero(at > 0)
-        gaps[left, at[left] - 1] = table.ranks(rows[left, at[left] - 1], new[left])
+        gaps[left, at[left] - 1] = _pair_ranks(pairs, rows[left, at[left] - 1], new[left])
         right = np.flatnonzero(at < width - 1)
-        gaps[right, at[right]] = table.ranks(new[right], rows[right, at[right] + 1])
+        gaps[right, at[right]] = _pair_ranks(pairs, new[right], rows[right, at[right] + 1])
     if len(rows):
         finish(np.ones(len(rows), bool))
     ends = 4 * np.cumsum(np.concatenate([[0], *lengths]))
@@ -309,24 +311,16 @@ def _as_bytes(ids: Iterable[int]) -> bytes:
     return array("i", ids).tobytes()
 
 
-class _Both(dict):
-    """A dictionary that looks further in another one."""
-
-    other: Mapping[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        return self.other[key]
-
-
 class _Encoder:
     """Ids, as bytes, of texts; stretches of texts are split, merged together, and remembered.
 
     A task remembers up to ``REMEMBERED`` stretches.
     """
 
-    def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pattern: str):
-        self.ranks, self.find = ranks, split_pattern(pattern).findall
-        self.table, self.known = PairTable(ranks), _Both(known)
+    def __init__(self, known: dict[str, bytes], ranks: Mapping[bytes, int], pairs: Pairs,
+                 pattern: str):
+        self.known, self.ranks, self.pairs = known, ranks, pairs
+        self.find = split_pattern(pattern).findall
         self.memory: dict[str, bytes] = {}
 
     def merged(self, words: Iterable[str]) -> dict[str, bytes]:
@@ -340,7 +334,7 @@ class _Encoder:
             else:
                 alike.setdefault((size - 1).bit_length(), []).append(word)
         for own in alike.values():
-            found.update(zip(own, merge_many([w.encode() for w in own], self.table)))
+            found.update(zip(own, merge_many([w.encode() for w in own], self.pairs)))
         return found
 
     def texts(self, texts: list[str]) -> list[bytes]:
@@ -359,11 +353,12 @@ class _Encoder:
                     firsts[i], coded[i], gaps[i] = texts[i], [], []
         words = [*map(self.find, map(" ".__add__, regular))]
         first_words = [*map(self.find, firsts)]
-        self.known.other = self.merged(set(filterfalse(self.known.__contains__, chain(
+        known = self.known
+        rare = self.merged(set(filterfalse(known.__contains__, chain(
             chain.from_iterable(words), chain.from_iterable(first_words)))))
 
-        def joined(found: list[str], get=self.known.__getitem__) -> bytes:
-            return b"".join(map(get, found))
+        def joined(found: list[str]) -> bytes:
+            return b"".join([known.get(w) or rare[w] for w in found])
 
         recent = dict(zip(regular, map(joined, words)))
         if len(self.memory) < REMEMBERED:
@@ -388,11 +383,12 @@ def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
     found = encode_words(common, ranks).toArrow()
     known = {w: _as_bytes(ids) for w, ids in zip(found.column("word").to_pylist(),
                                                  found.column("ids").to_pylist())}
-    shared = spark.sparkContext.broadcast((known, dict(ranks), _token_table(ranks)))
+    shared = spark.sparkContext.broadcast(
+        (known, dict(ranks), pair_table(ranks), _token_table(ranks)))
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks, table = shared.value
-        encoder = _Encoder(known, ranks, pattern)
+        known, ranks, pairs, table = shared.value
+        encoder = _Encoder(known, ranks, pairs, pattern)
         for batch in batches:
             for piece in pieces(batch, "text", ENCODED_BYTES):
                 coded = encoder.texts([t or "" for t in piece.column("text").to_pylist()])
