@@ -381,13 +381,16 @@ def encode(docs: DataFrame, ranks: Mapping[bytes, int], pattern: str,
     spark = docs.sparkSession
     common = frequent_words(count_words(docs, pattern, text_col), frequent)
     found = encode_words(common, ranks).toArrow()
-    known = {w: _as_bytes(ids) for w, ids in zip(found.column("word").to_pylist(),
-                                                 found.column("ids").to_pylist())}
-    shared = spark.sparkContext.broadcast(
-        (known, dict(ranks), pair_table(ranks), _token_table(ranks)))
+    # Arrays, from which a task makes its dictionaries: workers keep broadcast values for long.
+    words = found.column("word").combine_chunks(), pa.array(
+        map(_as_bytes, found.column("ids").to_pylist()), pa.binary())
+    tokens = pa.array(ranks.keys(), pa.binary()), pa.array(ranks.values(), pa.int32())
+    shared = spark.sparkContext.broadcast((words, tokens, pair_table(ranks), _token_table(ranks)))
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ranks, pairs, table = shared.value
+        words, tokens, pairs, table = shared.value
+        known, ranks = (dict(zip(keys.to_pylist(), values.to_pylist()))
+                        for keys, values in (words, tokens))
         encoder = _Encoder(known, ranks, pairs, pattern)
         for batch in batches:
             for piece in pieces(batch, "text", ENCODED_BYTES):
