@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surtido.constants import MIN_ACTIVE_DAYS
-from surtido.operators.catalog import cutoff_of, days_since
-from surtido.operators.cleaning import COPIES, STEP
+from surtido.operators.catalog import cutoff_of, day_masks, days_since
+from surtido.operators.cleaning import COPIES, STEP, count_copies
 
 
 def _as_rows(one_row: DataFrame, names: list[str], label: str) -> DataFrame:
@@ -19,12 +19,14 @@ def _as_rows(one_row: DataFrame, names: list[str], label: str) -> DataFrame:
     return one_row.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def cleaning_audit(counted: DataFrame) -> DataFrame:
+def cleaning_audit(lines: DataFrame) -> DataFrame:
     """Rows left after every cleaning step: ``orden, paso, filas``.
 
-    ``counted`` are lines by :func:`~surtido.operators.cleaning.count_copies`, best the written
-    ones: two columns of them are read, and the raw input is not read again.
+    ``lines`` are the written ones of :func:`~surtido.operators.cleaning.count_copies`, of which
+    two columns are read and the raw input is not read again, or raw lines, which are counted.
     """
+    counted = lines if STEP in lines.columns else count_copies(lines)
+
     def left(*dropped: int) -> Column:
         kept = F.when(~F.col(STEP).isin(*dropped), F.col(COPIES)) if dropped else F.col(COPIES)
         return F.coalesce(F.sum(kept), F.lit(0))
@@ -36,13 +38,14 @@ def cleaning_audit(counted: DataFrame) -> DataFrame:
     return _as_rows(counts, counts.columns, "paso")
 
 
-def split_audit(days: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
+def split_audit(lines: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
     """Products and rows kept and excluded by the activity filter: ``orden, medida, filas``.
 
-    ``days`` are the active days by :func:`~surtido.operators.catalog.day_masks`, best the
-    written ones. Products without any sale in the last month are dropped too, but the
+    ``lines`` are the written active days of :func:`~surtido.operators.catalog.day_masks`, or
+    clean lines, of which these are made. Products without any sale in the last month are dropped too, but the
     excluded count covers only those sold on too few days.
     """
+    days = lines if "dias" in lines.columns else day_masks(lines)
     per_product = days.where(F.col("id_producto").isNotNull()).groupBy("id_producto").agg(
         F.sum("filas").alias("filas"), F.sum(days_since(cutoff_of(days))).alias("dias"))
     kept = F.col("dias") >= min_days
