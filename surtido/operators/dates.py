@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from surtido.session import fresh_folder, remove_folder
+
 # Shapes are cut here; what is longer is no date.
 SHAPE_LENGTH = 40
 
@@ -37,16 +39,18 @@ def date_shapes(df: DataFrame, column: str) -> DataFrame:
     """One row per shape: ``forma, filas, mayor_1, mayor_2, ejemplo``.
 
     ``mayor_1`` and ``mayor_2`` are the largest first and second numbers of one or two digits,
-    ``ejemplo`` is the least text. Nulls are left out. Shapes are few in each task, so hardly
-    anything is shuffled.
+    ``ejemplo`` is the least text. Nulls are left out. Dates repeat, so equal texts are counted
+    first, in the tasks before the shuffle as well, and each text is looked at once.
     """
-    text = F.col(f"`{column}`").cast("string")
+    texts = df.select(F.col(f"`{column}`").cast("string").alias("texto")).where(
+        F.col("texto").isNotNull()).groupBy("texto").agg(F.count(F.lit(1)).alias("filas"))
+    text = F.col("texto")
     small = F.transform(F.regexp_extract_all(text, F.lit(r"(?<!\d)(\d{1,2})(?!\d)"), 1),
                         lambda n: n.cast("int"))
-    return df.where(text.isNotNull()).select(
+    return texts.select(
         date_shape(text).alias("forma"), F.get(small, F.lit(0)).alias("n1"),
-        F.get(small, F.lit(1)).alias("n2"), text.alias("texto")).groupBy("forma").agg(
-        F.count(F.lit(1)).alias("filas"), F.max("n1").alias("mayor_1"),
+        F.get(small, F.lit(1)).alias("n2"), "texto", "filas").groupBy("forma").agg(
+        F.sum("filas").alias("filas"), F.max("n1").alias("mayor_1"),
         F.max("n2").alias("mayor_2"), F.min("texto").alias("ejemplo"))
 
 
@@ -125,14 +129,19 @@ def formats_of(shapes: Sequence[Row | dict]) -> tuple[tuple[str, ...], int, int]
 def infer_formats(df: DataFrame, column: str) -> DateFormats:
     """The formats of a column of date texts; ISO texts need none.
 
-    Only shapes of the date grammar come to the driver, which are some hundreds at most.
+    Only shapes of the date grammar come to the driver, which are some hundreds at most. The
+    shapes are written to the shared folder first, so the column is read once.
     """
+    spark, path = df.sparkSession, fresh_folder(df.sparkSession)
     shapes = date_shapes(df, column)
+    shapes.write.parquet(path)
+    shapes = spark.read.schema(shapes.schema).parquet(path)
     iso = F.col("forma").startswith("Y-9")
     dated = F.col("forma").rlike(f"^{_SHAPE.pattern.replace('?P<', '?<')}$")
     formats, ambiguous, contradictory = formats_of(shapes.where(dated & ~iso).collect())
     others = shapes.where(~dated & ~iso & (F.col("forma") != ""))
     unread = others.agg(F.coalesce(F.sum("filas"), F.lit(0))).first()[0]
     examples = others.orderBy(F.desc("filas"), "ejemplo").limit(5).collect() if unread else ()
+    remove_folder(spark, path)
     return DateFormats(formats, ambiguous, contradictory, unread,
                        tuple(r["ejemplo"] for r in examples))

@@ -9,6 +9,7 @@ from surtido.operators import cleaning as c
 from surtido.operators.audit import cleaning_audit, dataset_report
 from surtido.operators.dates import date_shapes, infer_formats
 from surtido.registry.base import LINES, clean, raw, sql
+from surtido.session import fresh_folder
 
 # How a country writes its dates, by the last digit of its number: format, the same for the
 # twin, and its shape.
@@ -33,7 +34,9 @@ def _date_texts(s, d):
 
 def _inferred(s, d):
     """The date texts read with the formats that their shapes give."""
-    lines = _date_texts(s, d)
+    texts, path = _date_texts(s, d), f"{fresh_folder(s)}/textos"
+    texts.write.parquet(path)  # read twice: for the formats, and with them
+    lines = s.read.schema(texts.schema).parquet(path)
     found = infer_formats(lines, "InvoiceDate")
     return lines.select("InvoiceNo", F.to_date(parse_timestamp(
         F.col("InvoiceDate"), found.formats)).alias("fecha"), F.lit(found.ambiguous).cast(
