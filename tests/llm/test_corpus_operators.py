@@ -1,16 +1,19 @@
 """Operators that learn from or search the corpus, and the pipeline, against plain forms."""
 
+import os
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from surtido.llm import bpe, decontamination, queries, simhash, suffixes, toxicity
+from surtido.llm import bpe, common, decontamination, queries, simhash, suffixes, toxicity
 from tests.llm import brute
 from tests.llm.conftest import EDGES, FOLDER, sorted_rows
 
@@ -81,6 +84,51 @@ def test_a_passage_in_many_documents_makes_no_large_block(spark, monkeypatch):
     assert sorted_rows(digests(df), "*") == brute.repeated_bytes(docs)
 
 
+def shuffle_bytes(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = (f for top in disk.localDirsString() for d, _, names in os.walk(top)
+             for f in (os.path.join(d, n) for n in names if n.startswith("shuffle_")))
+    return sum(os.path.getsize(f) for f in files)
+
+
+def test_no_segments_lie_on_disk_when_the_texts_are_shuffled(spark, tmp_path):
+    rng = random.Random(6)
+    texts = [rng.randbytes(20000).hex() for _ in range(20)]
+    rows = [(i, texts[i % 20] + texts[i * 7 % 20][:5000]) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    before = shuffle_bytes(spark)
+    found = suffixes.remove_repeated(docs)
+    until = time.time() + 20
+    # Of 1.8 MB of texts, by far less than their segments.
+    while (left := shuffle_bytes(spark) - before) > 1e6 and time.time() < until:
+        time.sleep(0.2)
+    assert left < 1e6
+    assert spark.conf.get(common.CLEAN_UP) == "false"
+    assert sorted_rows(found.select("row.doc_id", F.octet_length("kept")), "*")[0][1] > 40000
+
+
+def test_more_buckets_do_not_make_segments_compress_less():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+             for _ in range(3000)]
+    rows = pa.RecordBatch.from_pydict({
+        "doc_id": list(range(100)), "mark": [0] * 100,
+        "text": [" ".join(rng.choices(words, k=1500)) for _ in range(100)]})
+    none = np.zeros(0, np.uint64)
+    for a_task in (1, 500):
+        cuts = list(suffixes._segments(iter([rows]), 4, a_task, 50, none))
+        packed = [p for c in cuts for p in c.column("packed").to_pylist() if p]
+        assert len(packed) == 4
+        read = [suffixes._unpack(*p.values()) for p in packed]
+        n = sum(r[0].size for r in read)
+        assert all((np.diff(r[0]) >= 0).all() and len(np.unique(r[0] // a_task)) == 1 for r in read)
+        size = sum(len(p["data"]) for p in packed)
+        if a_task == 1:
+            first, segments = size, n
+    assert n == segments and size < 1.2 * first
+
+
 def test_the_largest_doc_id_is_a_document_like_any_other(spark):
     text = "a text of more than fifty bytes that several documents hold as a whole"
     docs = [(2 ** 63 - 1, text), (2 ** 63 - 2, text), (None, text), (0, "x" + text[9:] + "yz")]
