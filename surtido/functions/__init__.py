@@ -3,6 +3,7 @@
 from surtido.functions.dates import (
     month_start, months_to_end_of_next_year, parse_timestamp,
 )
+from surtido.functions.hashes import row_hash
 from surtido.functions.numeric import (
     adjusted_skewness, clip, money_round, nan_to_null, r2_score, round_half_even,
 )
@@ -11,5 +12,5 @@ from surtido.functions.text import is_cancelled, strip_upper, with_missing_as_nu
 __all__ = [
     "adjusted_skewness", "clip", "is_cancelled", "money_round", "month_start",
     "months_to_end_of_next_year", "nan_to_null", "parse_timestamp", "r2_score",
-    "round_half_even", "strip_upper", "with_missing_as_null",
+    "round_half_even", "row_hash", "strip_upper", "with_missing_as_null",
 ]

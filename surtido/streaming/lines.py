@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from surtido.functions import month_start
+from surtido.functions import month_start, row_hash
 from surtido.operators.cleaning import drop_exact_duplicates, keep_sales, normalize_lines
 from surtido.session import list_folder, remove_folder
 
@@ -26,10 +26,8 @@ NO_MONTH = "0001-01-01"
 
 
 def line_hash(columns: list[str], salt: int) -> Column:
-    """64 bits of a line; which values are null is hashed as well, as hashes skip nulls."""
-    values = [F.col(f"`{c}`") for c in columns]
-    nulls = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
-    return F.xxhash64(F.lit(salt), nulls, *values)
+    """64 bits of a line."""
+    return row_hash([F.col(f"`{c}`") for c in columns], salt)
 
 
 def open_folders(batch: int, merged: int = MERGED) -> list[tuple[int, int]]:

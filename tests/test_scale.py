@@ -1,11 +1,13 @@
 """What the jobs shuffle, read and keep: each input once, narrow rows, little state."""
 
+import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from surtido.operators.cleaning import clean_stream
+from surtido.operators.cleaning import clean_lines, clean_stream
 from surtido.operators.dates import infer_formats
 from surtido.registry import tables
 from surtido.session import state_on_disk
@@ -111,3 +113,70 @@ def test_clean_stream_keeps_one_state(spark, tmp_path):
     progress = stream.recentProgress[0]["stateOperators"]
     assert len(progress) == 1 and any("rocksdb" in m for m in progress[0]["customMetrics"])
     assert spark.read.parquet(f"{tmp_path}/out").count() == 20
+
+
+def cleaned(spark, rows, folder, parts=2):
+    """The rows as a stream cleans them, with copies in several tasks."""
+    rows.repartition(parts).write.parquet(f"{folder}/in")
+    arriving = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+    with state_on_disk(spark):
+        clean_stream(arriving).writeStream.format("parquet").option(
+            "path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(
+            availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+def bytes_in(folder):
+    return sum(os.path.getsize(f"{d}/{name}") for d, _, names in os.walk(folder) for name in names)
+
+
+def test_state_of_clean_stream_does_not_hold_the_lines(spark, tmp_path):
+    text = F.concat(*[F.sha2(F.concat(F.lit(f"{i}-"), "InvoiceNo"), 512) for i in range(20)])
+    wide = lines(spark, 400).withColumn("Description", text)
+    assert cleaned(spark, wide.union(wide), str(tmp_path)).count() == 400
+    assert bytes_in(f"{tmp_path}/state/state") < 200_000  # the texts have a million
+
+
+def test_clean_stream_tells_lines_of_equal_hashes_apart(spark, tmp_path):
+    given = [(0.0, [1, 2], [3], (None, 1), "a", None), (-0.0, [1, 2], [3], (None, 1), "a", None),
+             (0.0, [1], [2, 3], (None, 1), "a", None), (0.0, [1, 2], [3], (1, None), "a", None),
+             (0.0, [1, 2], [3], None, "a", None), (0.0, [1, 2], [3], (None, 1), None, "a"),
+             (None, [1, 2], [3], (None, 1), "a", None), (0.0, [1, 2], [3], (None, 1), "a", "")]
+    odd = spark.createDataFrame(
+        given, "v double, x array<int>, y array<int>, z struct<a: int, b: int>, s string, t string")
+    rows = lines(spark, 1).join(odd)
+    got = cleaned(spark, rows.union(rows).union(rows), str(tmp_path), 3)
+    shown = [str(r) for r in got.select(odd.columns).collect()]
+    assert sorted(shown) == sorted(str(r) for r in odd.collect())
+
+
+def shuffles_on_disk(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return set(re.findall(r"shuffle_(\d+)_\d+_\d+\.data", blocks.getAllFiles().mkString(" ")))
+
+
+def test_clean_stream_leaves_only_its_lines(spark, monkeypatch, tmp_path):
+    made = lines(spark, 300)
+    monkeypatch.setattr(tables, "raw", lambda s, d: made.union(made).repartition(3, "InvoiceNo"))
+    monkeypatch.setattr(tables, "fresh_folder", lambda s: str(tmp_path))
+    before = shuffles_on_disk(spark)
+    got = tables._clean_stream(spark, None)
+    deadline = time.time() + 20
+    # What may be left is the small shuffle of the dates at which the lines are cut.
+    while len(shuffles_on_disk(spark) - before) > 1 and time.time() < deadline:
+        time.sleep(0.2)
+    assert len(shuffles_on_disk(spark) - before) <= 1
+    assert [n for n in os.listdir(tmp_path) if bytes_in(f"{tmp_path}/{n}")] == ["lineas"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, clean_lines(made).collect()))
+
+
+def test_a_batch_of_clean_stream_is_bounded(spark, monkeypatch, tmp_path):
+    made, removed = lines(spark, 300), []
+    monkeypatch.setattr(tables, "raw", lambda s, d: made)
+    monkeypatch.setattr(tables, "fresh_folder", lambda s: str(tmp_path))
+    monkeypatch.setattr(tables, "BYTES_PER_BATCH", 1, raising=False)
+    monkeypatch.setattr(tables, "remove_folder", lambda s, folder: removed.append(folder))
+    assert tables._clean_stream(spark, None).count() == 300
+    # Three parts of two files, a batch each; and one for the watermark after each part.
+    assert len([n for n in os.listdir(f"{tmp_path}/estado/commits") if n.isdigit()]) >= 6
+    assert len(removed) == 5
